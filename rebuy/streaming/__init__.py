@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference pipeline is batch only - every job reads whole files and
+writes whole files, with no watermark, window or state. There is nothing to
+port here; the batch plans are what a streaming job would call from
+``foreachBatch``.
+"""
