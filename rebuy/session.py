@@ -35,10 +35,22 @@ def local_session(cores: int | str = "*", app: str = "rebuy", **conf: str) -> Sp
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Point the context at ``spark.checkpoint.dir``; invent one only if unset."""
+    """The shared folder for checkpoints and stage tables.
+
+    ``spark.checkpoint.dir`` when the cluster sets it (Spark then already
+    points the context at it); only when it is unset, as in local tests, a
+    fresh temporary folder is used.
+    """
+    global _LOCAL_FALLBACK
+    sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="rebuy-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        if _LOCAL_FALLBACK is None:
+            _LOCAL_FALLBACK = tempfile.mkdtemp(prefix="rebuy-ckpt-")
+        path = _LOCAL_FALLBACK
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path
+
+
+_LOCAL_FALLBACK: str | None = None
