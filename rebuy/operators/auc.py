@@ -8,6 +8,11 @@ window over all distinct scores, the scores are range-partitioned: each
 partition takes a prefix sum over its own slice, and one small table of
 per-partition totals (one row per partition, so its size is bounded by the
 partition count) supplies the offset of everything in earlier partitions.
+
+The range-partitioned table, with its partition id as a column, is written
+once as a stage table: both readers (the totals and the local prefix sums)
+must see the same partition ids, and two separately planned range exchanges
+could sample different bounds.
 """
 
 from __future__ import annotations
@@ -15,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rebuy.sources.stage import stage_table
+
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score", partitions: int | None = None) -> DataFrame:
     """One row: ``auc`` DOUBLE (null when a class is missing), ``n_pos``, ``n_neg``."""
@@ -24,7 +31,9 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", partition
     )
     spark = df.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = per_score.repartitionByRange(n_parts, score).withColumn("_pid", F.spark_partition_id())
+    ranged = stage_table(
+        per_score.repartitionByRange(n_parts, score).withColumn("_pid", F.spark_partition_id()), "auc_scores"
+    )
 
     totals = ranged.groupBy("_pid").agg(F.sum("neg").alias("part_neg"))
     offsets = totals.select(
