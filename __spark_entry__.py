@@ -167,6 +167,12 @@ def q_asof_backward_article(spark, sf_dir):
     return asof_join(candidates(tx), article_popularity(tx), by=A, on=D, direction="backward")
 
 
+def q_asof_backward_article_sliced(spark, sf_dir):
+    """Same as ``asof_backward_article`` through the hot-group path (30-day slices)."""
+    tx = _tx(spark, sf_dir)
+    return asof_join(candidates(tx), article_popularity(tx), by=A, on=D, direction="backward", bucket=30)
+
+
 def q_asof_forward(spark, sf_dir):
     tx = _tx(spark, sf_dir)
     right = interaction_features(tx).select(C, A, D, F.col(D).alias("purchase_date"), "times_bought_so_far")
@@ -245,6 +251,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "labels": q_labels,
     "asof_backward_pair": q_asof_backward_pair,
     "asof_backward_article": q_asof_backward_article,
+    "asof_backward_article_sliced": q_asof_backward_article_sliced,
     "asof_forward": q_asof_forward,
     "asof_nearest": q_asof_nearest,
     "features": q_features,
@@ -536,6 +543,12 @@ _ORACLES: dict[str, str] = {
         "cand",
         "pop",
     ),
+    "asof_backward_article_sliced": _sql(
+        """SELECT c.customer_id, c.order_date, c.article_id, p.article_popularity
+           FROM cand c ASOF LEFT JOIN pop p ON c.article_id = p.article_id AND c.order_date >= p.order_date""",
+        "cand",
+        "pop",
+    ),
     "asof_forward": _sql(
         """SELECT c.customer_id, c.order_date, c.article_id,
                   i.order_date AS purchase_date, i.times_bought_so_far

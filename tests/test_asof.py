@@ -39,10 +39,11 @@ def _pandas(left, right, by, direction, exact):
     return sorted(rows, key=repr)
 
 
+@pytest.mark.parametrize("bucket", [None, 7])
 @pytest.mark.parametrize("direction", ["backward", "forward", "nearest"])
 @pytest.mark.parametrize("exact", [True, False])
 @pytest.mark.parametrize("by", [["g"], ["g", "h"]])
-def test_matches_pandas(spark, direction, exact, by):
+def test_matches_pandas(spark, direction, exact, by, bucket):
     left, right = _frames(hash((direction, exact, len(by))) % 1000)
     lf = spark.createDataFrame(left, SCHEMA_L)
     rf = spark.createDataFrame(right, SCHEMA_R)
@@ -57,7 +58,7 @@ def test_matches_pandas(spark, direction, exact, by):
                 uniq.append(row)
         right = uniq
         rf = spark.createDataFrame([(g, t, rv, rn) for g, _, t, rv, rn in right], "g string, t long, rv long, rn double")
-    got = asof_join(lf, rf, by=by, on="t", direction=direction, allow_exact_matches=exact)
+    got = asof_join(lf, rf, by=by, on="t", direction=direction, allow_exact_matches=exact, bucket=bucket)
     assert got.columns == ["g", "h", "t", "lv", "rv", "rn"]
     rows = sorted([tuple(r) for r in got.collect()], key=repr)
     assert rows == _pandas(left, right, by, direction, exact)
@@ -83,3 +84,18 @@ def test_name_clash_gets_suffix(spark):
     out = asof_join(left, right, "g", "t")
     assert out.columns == ["g", "t", "v", "v_right"]
     assert tuple(out.first()) == ("a", 5, 1, 9)
+
+
+@pytest.mark.parametrize("direction", ["backward", "forward", "nearest"])
+def test_bucketed_dates_equal_unbucketed(spark, direction):
+    import datetime as dt
+
+    rnd = random.Random(7)
+    base = dt.date(2024, 1, 1)
+    left = [("a" if i % 3 else "b", base + dt.timedelta(days=rnd.randint(0, 200))) for i in range(150)]
+    right = sorted({("a" if i % 4 else "b", base + dt.timedelta(days=rnd.randint(0, 200))) for i in range(40)})
+    lf = spark.createDataFrame(left, "g string, d date")
+    rf = spark.createDataFrame([(g, d, i) for i, (g, d) in enumerate(right)], "g string, d date, v int")
+    plain = sorted(map(tuple, asof_join(lf, rf, "g", "d", direction).collect()), key=repr)
+    sliced = sorted(map(tuple, asof_join(lf, rf, "g", "d", direction, bucket=10).collect()), key=repr)
+    assert plain == sliced
