@@ -275,7 +275,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT CAST(o.o_custkey AS VARCHAR) AS customer_id,
                   CAST(p.p_brand AS VARCHAR) AS article_id,
                   CAST(o.o_orderdate AS DATE) AS order_date,
-                  CAST(trunc(l.l_quantity) AS BIGINT) AS quantity
+                  COALESCE(TRY_CAST(trunc(l.l_quantity) AS BIGINT), 0) AS quantity
            FROM lineitem l
            JOIN orders o ON l.l_orderkey = o.o_orderkey
            JOIN part p ON l.l_partkey = p.p_partkey""",

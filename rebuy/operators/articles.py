@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rebuy.config import COLS
-from rebuy.operators.interactions import daily_lines, pair_history
+from rebuy.operators.interactions import daily_lines, pair_history, valid_rows
 
 C, A, D, Q = COLS.customer_id, COLS.article_id, COLS.order_date, COLS.quantity
 
@@ -26,7 +26,7 @@ def popularity_from_firsts(firsts: DataFrame, first_col: str) -> DataFrame:
 
 def article_popularity(tx: DataFrame) -> DataFrame:
     """A5, A6, W8 on raw transactions."""
-    firsts = tx.groupBy(A, C).agg(F.min(D).alias("first_buy_date"))
+    firsts = valid_rows(tx).groupBy(A, C).agg(F.min(D).alias("first_buy_date"))
     return popularity_from_firsts(firsts, "first_buy_date")
 
 

@@ -18,11 +18,21 @@ from rebuy.functions import safe_divide
 C, A, D, Q = COLS.customer_id, COLS.article_id, COLS.order_date, COLS.quantity
 
 
+def valid_rows(tx: DataFrame) -> DataFrame:
+    """Rows with a customer, an article and a day; the filter reaches the scan.
+
+    The reference's grouped tables never see a row without a date or key, so
+    every operator starts here.
+    """
+    return tx.where(F.col(C).isNotNull() & F.col(A).isNotNull() & F.col(D).isNotNull())
+
+
 def daily_lines(tx: DataFrame) -> DataFrame:
-    """(c, a, d, n_lines, qty): transaction lines and quantity per article-day."""
-    return tx.groupBy(C, A, D).agg(
+    """(c, a, d, n_lines, qty): transaction lines and quantity per article-day
+    (a missing quantity counts as 0)."""
+    return valid_rows(tx).groupBy(C, A, D).agg(
         F.count(F.lit(1)).alias("n_lines"),
-        F.sum(Q).alias("qty"),
+        F.sum(F.coalesce(F.col(Q), F.lit(0))).cast("bigint").alias("qty"),
     )
 
 
@@ -78,7 +88,7 @@ def interaction_features(tx: DataFrame) -> DataFrame:
     from rebuy.operators.orders import order_numbers
 
     pairs = pair_history(daily_lines(tx))
-    numbers = order_numbers(tx.select(C, D))
+    numbers = order_numbers(valid_rows(tx).select(C, D))
     return pairs.join(numbers, [C, D]).select(
         C,
         A,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rebuy.config import COLS
+from rebuy.operators.interactions import valid_rows
 from rebuy.operators.orders import next_order
 
 C, A, D = COLS.customer_id, COLS.article_id, COLS.order_date
@@ -16,5 +17,5 @@ C, A, D = COLS.customer_id, COLS.article_id, COLS.order_date
 def build_labels(tx: DataFrame) -> DataFrame:
     """(c, d, a, label=1) where d is the order before the one containing a."""
     nxt = next_order(tx).where(F.col("next_order_date").isNotNull())
-    lines = tx.select(C, F.col(D).alias("next_order_date"), A)
+    lines = valid_rows(tx).select(C, F.col(D).alias("next_order_date"), A)
     return lines.join(nxt, [C, "next_order_date"]).select(C, D, A, F.lit(1).alias("label"))

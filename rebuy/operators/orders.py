@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rebuy.config import COLS
 from rebuy.functions import days_between, first_argmax, safe_divide, weekday_monday0
-from rebuy.operators.interactions import daily_lines
+from rebuy.operators.interactions import daily_lines, valid_rows
 
 C, A, D, Q = COLS.customer_id, COLS.article_id, COLS.order_date, COLS.quantity
 
@@ -95,7 +95,7 @@ def dow_preference(order_baskets: DataFrame) -> DataFrame:
 
 def first_purchases(tx: DataFrame) -> DataFrame:
     """(c, a, first_purchase_date): A3 / A5 / A13."""
-    return tx.groupBy(C, A).agg(F.min(D).alias("first_purchase_date"))
+    return valid_rows(tx).groupBy(C, A).agg(F.min(D).alias("first_purchase_date"))
 
 
 def unique_articles_curve(tx: DataFrame) -> DataFrame:
@@ -136,10 +136,10 @@ def order_timeline(orders: DataFrame) -> DataFrame:
 
 def last_order(tx: DataFrame) -> DataFrame:
     """A15: (c, order_date) of each customer's latest order."""
-    return tx.groupBy(C).agg(F.max(D).alias(D))
+    return valid_rows(tx).groupBy(C).agg(F.max(D).alias(D))
 
 
 def next_order(tx: DataFrame) -> DataFrame:
     """W16: (c, d, next_order_date) over distinct orders; null for the last."""
-    keys = tx.select(C, D).distinct()
+    keys = valid_rows(tx).select(C, D).distinct()
     return keys.select(C, D, F.lead(D).over(_w_orders()).alias("next_order_date"))

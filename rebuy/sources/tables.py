@@ -37,5 +37,5 @@ def transactions_from_tables(spark: SparkSession, sf_dir: str, article: str = "p
         F.col("o_custkey").cast("string").alias(COLS.customer_id),
         F.col("_article").cast("string").alias(COLS.article_id),
         F.to_date("o_orderdate").alias(COLS.order_date),
-        F.col("l_quantity").cast("bigint").alias(COLS.quantity),
+        F.coalesce(F.col("l_quantity").try_cast("bigint"), F.lit(0).cast("bigint")).alias(COLS.quantity),
     )

@@ -80,3 +80,28 @@ def test_appending_later_rows_keeps_the_past(spark, tx):
     diff = a.select(*keep).exceptAll(b.select(*keep))
     assert a.count() == b.count()
     assert diff.count() == 0
+
+
+def test_rows_without_key_or_date_are_ignored(spark, fixture_tx):
+    from rebuy.config import TX_SCHEMA
+    from conftest import FIXTURE1, d
+
+    noisy = FIXTURE1 + [
+        ("C1", "A", None, 5),
+        (None, "A", d("2024-01-05"), 1),
+        ("C2", None, d("2024-01-05"), 1),
+        ("C9", "Z", None, 1),
+    ]
+    dirty = spark.createDataFrame(noisy, TX_SCHEMA)
+    a = sorted(map(tuple, build_dataset(dirty).collect()), key=repr)
+    b = sorted(map(tuple, build_dataset(fixture_tx).collect()), key=repr)
+    assert a == b
+
+
+def test_null_quantity_counts_as_zero(spark):
+    from rebuy.config import TX_SCHEMA
+    from conftest import d
+    from rebuy.operators import order_level
+
+    tx = spark.createDataFrame([("C1", "A", d("2024-01-01"), None), ("C1", "B", d("2024-01-01"), 2)], TX_SCHEMA)
+    assert [tuple(r) for r in order_level(tx).collect()] == [("C1", d("2024-01-01"), 2, 2)]
