@@ -193,6 +193,15 @@ def q_dataset(spark, sf_dir):
     return build_dataset(_tx(spark, sf_dir))
 
 
+def q_dataset_distinct_labels(spark, sf_dir):
+    return build_dataset(_tx(spark, sf_dir), distinct_labels=True)
+
+
+def q_features_latest(spark, sf_dir):
+    """The scoring path: only each customer's latest order is built."""
+    return assemble_features(_tx(spark, sf_dir), latest_only=True)
+
+
 def q_train_valid_split(spark, sf_dir):
     flagged = with_split(build_dataset(_tx(spark, sf_dir)), TRAIN_END)
     return flagged.groupBy(F.when(F.col("is_valid"), "valid").otherwise("train").alias("split")).agg(
@@ -256,6 +265,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "asof_nearest": q_asof_nearest,
     "features": q_features,
     "dataset": q_dataset,
+    "dataset_distinct_labels": q_dataset_distinct_labels,
+    "features_latest": q_features_latest,
     "train_valid_split": q_train_valid_split,
     "last_order": q_last_order,
     "topn_by_score": q_topn_by_score,
@@ -579,6 +590,13 @@ _ORACLES: dict[str, str] = {
     ),
     "features": _sql("SELECT * FROM feat", "feat"),
     "dataset": _sql("SELECT * FROM ds", "ds"),
+    "dataset_distinct_labels": _sql("SELECT DISTINCT * FROM ds", "ds"),
+    "features_latest": _sql(
+        """SELECT f.* FROM feat f
+           JOIN (SELECT customer_id, MAX(order_date) AS order_date FROM tx GROUP BY customer_id) l
+             ON f.customer_id = l.customer_id AND f.order_date = l.order_date""",
+        "feat",
+    ),
     "train_valid_split": _sql(
         f"""SELECT CASE WHEN order_date <= DATE '{TRAIN_END}' THEN 'train' ELSE 'valid' END AS split,
                    COUNT(*) AS n_rows, CAST(SUM(label) AS BIGINT) AS n_pos

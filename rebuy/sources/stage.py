@@ -6,21 +6,36 @@ recomputes it, scan included, once per branch. Writing it as parquet under
 the cluster's ``spark.checkpoint.dir`` computes it once, cuts the lineage (a
 lost executor does not replay the upstream scan), and lets every branch read
 only its columns.
+
+Tables of one application live under ``<dir>/rebuy-stage/<application id>``;
+``drop_stage_tables`` removes that folder when a job is done with it.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from rebuy.session import ensure_checkpoint_dir
 
 
+def stage_root(spark: SparkSession) -> str:
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/rebuy-stage/{spark.sparkContext.applicationId}"
+
+
 def stage_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to ``<spark.checkpoint.dir>/rebuy-stage/<run>/<name>`` and read it back."""
+    """Write ``df`` to ``<stage root>/<name>-<id>`` and read it back."""
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/rebuy-stage/{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:12]}/{name}"
+    path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def drop_stage_tables(spark: SparkSession) -> bool:
+    """Delete this application's stage folder (frames read from it become unusable)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(stage_root(spark))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(path, True))

@@ -121,3 +121,18 @@ def test_jobs_end_to_end(spark, tmp_path, capsys):
     recs = spark.read.parquet(out_path)
     assert rep["rows"] == recs.count() > 0
     assert recs.groupBy("customer_id").count().where("count > 2").count() == 0
+
+
+def test_cli_main_runs_and_cleans_stages(spark, tmp_path):
+    import os
+
+    from rebuy.plans import jobs
+    from rebuy.sources.stage import stage_root
+
+    csv = tmp_path / "tx.csv"
+    csv.write_text("customer_id,article_id,order_date,quantity\nC1,A,2024-01-01,1\nC1,A,2024-01-03,2\nC2,B,2024-01-02,1\n")
+    out = str(tmp_path / "ds")
+    assert jobs.main(["build-dataset", "--input", str(csv), "--output", out]) == 0
+    assert spark.read.parquet(out).count() == 3
+    root = stage_root(spark)
+    assert not os.path.exists(root.replace("file:", ""))
