@@ -52,6 +52,22 @@ def main() -> None:
     def auc():
         return roc_auc(build_dataset(brand()), "label", "fraction_orders_with_article")
 
+    def hot_customer():
+        # a third of the orders moved to one customer (see tools/skew_check.py)
+        li = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").select("l_orderkey", "l_partkey", "l_quantity")
+        o = spark.read.parquet(f"{SF_DIR}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
+        p = spark.read.parquet(f"{SF_DIR}/part.parquet").select("p_partkey", "p_brand")
+        j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+        tx = j.select(
+            F.when(F.pmod("l_orderkey", F.lit(3)) == 0, F.lit("HOT"))
+            .otherwise(F.col("o_custkey").cast("string"))
+            .alias("customer_id"),
+            F.col("p_brand").alias("article_id"),
+            F.to_date("o_orderdate").alias("order_date"),
+            F.col("l_quantity").cast("bigint").alias("quantity"),
+        )
+        return build_dataset(tx)
+
     def recommend():
         tx = brand()
         model = train_model(build_dataset(tx), "2000-01-01", max_iter=MODEL_ROUNDS)
@@ -63,6 +79,7 @@ def main() -> None:
         "features_latest_topn": topn,
         "asof_generic_pair": asof_pair,
         "auc_exact": auc,
+        "dataset_hot_customer": hot_customer,
         "train_and_recommend": recommend,
     }
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
