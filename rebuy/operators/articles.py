@@ -30,58 +30,72 @@ def article_popularity(tx: DataFrame) -> DataFrame:
     return popularity_from_firsts(firsts, "first_buy_date")
 
 
-def gap_rows(pairs: DataFrame) -> DataFrame:
-    """Weighted day gaps between consecutive transaction lines of a pair.
-
-    Over raw lines in date order a pair's gaps are: one ``d - prev_day`` for
-    each later day, and a 0 for every extra line on a day. So each daily row
-    yields at most two weighted values instead of one row per line.
+def article_static_from_pairs(pairs: DataFrame) -> DataFrame:
+    """J8, A7, A8 in one aggregation: (a, article_median_repurchase_days,
+    article_peak_month INT) for every article.
+
+    * Median day gap between consecutive lines of a (customer, article),
+      exact and weighted: over raw lines in date order a pair's gaps are one
+      ``d - prev_day`` per later day and a 0 for each extra line on a day, so
+      each daily row yields at most two weighted values. ``percentile`` keeps a
+      value->count map per article (bounded by the distinct gaps) and merges
+      partial maps. Null when the article was never rebought.
+    * Peak month: the month with most lines; a tie goes to the month met first
+      in date order. Twelve line counters and first days per article, then the
+      smallest (-lines, first day).
+
+    One ``groupBy(article)`` with map-side combine replaces two aggregations
+    and the full outer join between them.
     """
-    gaps = F.array(
-        F.struct(F.datediff(F.col(D), F.col("prev_day")).cast("double").alias("gap"), F.lit(1).cast("bigint").alias("w")),
-        F.struct(F.lit(0.0).alias("gap"), (F.col("n_lines") - 1).alias("w")),
+    n_lines, day = F.col("n_lines"), F.col(D)
+    parts = F.array(
+        F.struct(
+            F.datediff(day, F.col("prev_day")).cast("double").alias("gap"),
+            F.lit(1).cast("bigint").alias("w"),
+            F.month(day).alias("month"),
+            n_lines.alias("n"),
+            day.alias("day"),
+        ),
+        F.struct(
+            F.lit(0.0).alias("gap"),
+            (n_lines - 1).alias("w"),
+            F.lit(None).cast("int").alias("month"),
+            F.lit(0).cast("bigint").alias("n"),
+            F.lit(None).cast("date").alias("day"),
+        ),
     )
-    return (
-        pairs.select(A, F.inline(gaps))
-        .where(F.col("gap").isNotNull() & (F.col("w") > 0))
+    rows = pairs.select(A, F.inline(parts))
+    month = F.col("month")
+    aggs = [F.percentile(F.col("gap"), F.lit(0.5), F.col("w")).alias("article_median_repurchase_days")]
+    for m in range(1, 13):
+        aggs.append(F.sum(F.when(month == m, F.col("n"))).alias(f"_n{m}"))
+        aggs.append(F.min(F.when(month == m, F.col("day"))).alias(f"_d{m}"))
+    per_article = rows.groupBy(A).agg(*aggs)
+    options = F.array(
+        *[
+            F.struct((-F.col(f"_n{m}")).alias("neg_n"), F.col(f"_d{m}").alias("first_seen"), F.lit(m).alias("month"))
+            for m in range(1, 13)
+        ]
     )
-
-
-def repurchase_cycle_from_pairs(pairs: DataFrame) -> DataFrame:
-    """(a, article_median_repurchase_days): exact weighted median of gaps.
-
-    ``percentile`` keeps a value->count map per article (bounded by the
-    number of distinct day gaps) and merges partial maps, so it is exact and
-    partial-aggregated. Articles never rebought are absent.
-    """
-    return gap_rows(pairs).groupBy(A).agg(
-        F.percentile(F.col("gap"), F.lit(0.5), F.col("w")).alias("article_median_repurchase_days")
+    seen = F.filter(options, lambda o: o["neg_n"].isNotNull())
+    return per_article.select(
+        A,
+        "article_median_repurchase_days",
+        F.array_min(seen)["month"].cast("int").alias("article_peak_month"),
     )
 
 
 def repurchase_cycle(tx: DataFrame) -> DataFrame:
-    """A7 + W10 on raw transactions."""
-    return repurchase_cycle_from_pairs(pair_history(daily_lines(tx)))
-
-
-def peak_month_from_daily(daily: DataFrame) -> DataFrame:
-    """(a, article_peak_month INT): month with most lines; a tie goes to the
-    month met first in date order."""
-    by_month = daily.groupBy(A, F.month(D).alias("month")).agg(
-        F.sum("n_lines").alias("n"), F.min(D).alias("first_seen")
+    """A7 + W10: (a, article_median_repurchase_days); never-rebought articles absent."""
+    static = article_static_from_pairs(pair_history(daily_lines(tx)))
+    return static.where(F.col("article_median_repurchase_days").isNotNull()).select(
+        A, "article_median_repurchase_days"
     )
-    best = F.min_by(F.col("month"), F.struct((-F.col("n")).alias("neg_n"), F.col("first_seen")))
-    return by_month.groupBy(A).agg(best.cast("int").alias("article_peak_month"))
 
 
 def peak_month(tx: DataFrame) -> DataFrame:
-    """A8 + X5 on raw transactions."""
-    return peak_month_from_daily(daily_lines(tx))
-
-
-def article_static(cycle: DataFrame, peak: DataFrame) -> DataFrame:
-    """J8: per-article attributes, full outer on article."""
-    return cycle.join(peak, A, "full_outer")
+    """A8 + X5: (a, article_peak_month)."""
+    return article_static_from_pairs(pair_history(daily_lines(tx))).select(A, "article_peak_month")
 
 
 def article_curve(popularity: DataFrame, static: DataFrame) -> DataFrame:
@@ -95,8 +109,6 @@ def article_curve(popularity: DataFrame, static: DataFrame) -> DataFrame:
 
 def article_features(tx: DataFrame) -> DataFrame:
     """P6: (a, d, article_popularity, article_median_repurchase_days, article_peak_month)."""
-    daily = daily_lines(tx)
-    pairs = pair_history(daily)
+    pairs = pair_history(daily_lines(tx))
     firsts = pairs.where(F.col("days_with_article") == 1)
-    static = article_static(repurchase_cycle_from_pairs(pairs), peak_month_from_daily(daily))
-    return article_curve(popularity_from_firsts(firsts, D), static)
+    return article_curve(popularity_from_firsts(firsts, D), article_static_from_pairs(pairs))
