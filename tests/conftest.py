@@ -18,6 +18,9 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     s = local_session("*", app="rebuy-tests", **{"spark.sql.shuffle.partitions": "8"})
     yield s
+    from rebuy.sources.stage import drop_stage_tables
+
+    drop_stage_tables(s)
 
 
 def d(s: str) -> dt.date:
