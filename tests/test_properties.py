@@ -105,3 +105,14 @@ def test_null_quantity_counts_as_zero(spark):
 
     tx = spark.createDataFrame([("C1", "A", d("2024-01-01"), None), ("C1", "B", d("2024-01-01"), 2)], TX_SCHEMA)
     assert [tuple(r) for r in order_level(tx).collect()] == [("C1", d("2024-01-01"), 2, 2)]
+
+
+@pytest.mark.parametrize("latest", [False, True])
+def test_article_join_strategies_agree(tx, latest):
+    cols = None
+    out = []
+    for how in ("days", "asof"):
+        df = assemble_features(tx, latest_only=latest, article_join=how)
+        cols = cols or df.columns
+        out.append(sorted(map(tuple, df.select(*cols).collect()), key=repr))
+    assert out[0] == out[1]
