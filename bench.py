@@ -95,14 +95,20 @@ def main() -> None:
     part().groupBy("customer_id").agg(F.count(F.lit(1))).write.format("noop").mode("overwrite").save()
 
     times: dict[str, float] = {}
+    failed: list[str] = []
     for name, build in queries.items():
         if only and name not in only:
             continue
         best = float("inf")
-        for _ in range(REPEAT):
-            t0 = time.perf_counter()
-            build().write.format("noop").mode("overwrite").save()
-            best = min(best, time.perf_counter() - t0)
+        try:
+            for _ in range(REPEAT):
+                t0 = time.perf_counter()
+                build().write.format("noop").mode("overwrite").save()
+                best = min(best, time.perf_counter() - t0)
+        except Exception as err:  # one failing query must not hide the others' numbers
+            print(f"# {name}: FAILED {type(err).__name__}: {str(err)[:300]}", file=sys.stderr, flush=True)
+            failed.append(name)
+            continue
         times[name] = round(best, 3)
         print(f"# {name}: {times[name]} s", file=sys.stderr, flush=True)
 
@@ -115,6 +121,7 @@ def main() -> None:
                 "queries": times,
                 "sf": _sf(SF_DIR),
                 "cpus": int(CPUS),
+                "failed": failed,
             }
         )
     )
