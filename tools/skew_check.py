@@ -1,6 +1,6 @@
 """Skew check: one customer holds a third of all lines.
 
-    python tools/skew_check.py [sf_dir] [scratch_dir]
+    python tools/skew_check.py [sf_dir] [scratch_dir] [--no-broadcast]
 
 Rebuilds the transactions with every line of a third of the orders (chosen
 by order key) moved to a single customer ``HOT``, runs the dataset plan
@@ -8,6 +8,11 @@ through the ``noop`` sink with Spark's event log on, and prints for every
 shuffle-reading stage the largest share of records any one task read
 (scans are left out: their split follows the file layout). Nothing in the plan is
 partitioned by customer alone, so no task should come close to a third.
+
+``--no-broadcast`` plans every join as a shuffle join, as on a cluster where
+no side is small, and scales AQE's skew thresholds down to this data size
+(1 MB partitions, factor 2), so the hot customer's rows meet a real
+sort-merge join and AQE's skew split.
 """
 
 from __future__ import annotations
@@ -42,14 +47,21 @@ def _events(log_dir: str):
 
 
 def main() -> None:
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    log_dir = sys.argv[2] if len(sys.argv) > 2 else tempfile.mkdtemp(prefix="rebuy-skew-")
-    spark = local_session(
-        8, app="rebuy-skew", **{"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
-                                "spark.sql.shuffle.partitions": "32",
-                                # keep every shuffle partition, so shares are not blurred by coalescing
-                                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
-    )
+    args = [a for a in sys.argv[1:] if not a.startswith("--")]
+    sf_dir = args[0] if args else "/root/testdata/sf0.1"
+    log_dir = args[1] if len(args) > 1 else tempfile.mkdtemp(prefix="rebuy-skew-")
+    conf = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
+            "spark.sql.shuffle.partitions": "32",
+            # keep every shuffle partition, so shares are not blurred by coalescing
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    if "--no-broadcast" in sys.argv:
+        conf.update({"spark.sql.autoBroadcastJoinThreshold": "-1",
+                     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+                     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+                     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB"})
+    spark = local_session(8, app="rebuy-skew", **conf)
     # the driver's mapping, with a third of the orders moved to HOT
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_partkey", "l_quantity")
     o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
