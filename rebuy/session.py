@@ -42,15 +42,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     fresh temporary folder is used.
     """
     global _LOCAL_FALLBACK
-    sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         if _LOCAL_FALLBACK is None:
             _LOCAL_FALLBACK = tempfile.mkdtemp(prefix="rebuy-ckpt-")
         path = _LOCAL_FALLBACK
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no local context to point
+        return path
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path
 
 
+def application_id(spark: SparkSession) -> str:
+    """The running application's id (also without a local SparkContext)."""
+    app = spark.conf.get("spark.app.id", None)
+    if app:
+        return app
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return "app"
+
+
 _LOCAL_FALLBACK: str | None = None

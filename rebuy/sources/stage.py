@@ -17,12 +17,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rebuy.session import ensure_checkpoint_dir
+from rebuy.session import application_id, ensure_checkpoint_dir
 
 
 def stage_root(spark: SparkSession) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/rebuy-stage/{spark.sparkContext.applicationId}"
+    return f"{base}/rebuy-stage/{application_id(spark)}"
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
@@ -34,8 +34,12 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def drop_stage_tables(spark: SparkSession) -> bool:
-    """Delete this application's stage folder (frames read from it become unusable)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(stage_root(spark))
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.delete(path, True))
+    """Delete this application's stage folder (frames read from it become
+    unusable). Returns False when it cannot (e.g. a remote session)."""
+    try:
+        sc = spark.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(stage_root(spark))
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        return bool(fs.delete(path, True))
+    except Exception:
+        return False
