@@ -132,7 +132,8 @@ def test_cli_main_runs_and_cleans_stages(spark, tmp_path):
     csv = tmp_path / "tx.csv"
     csv.write_text("customer_id,article_id,order_date,quantity\nC1,A,2024-01-01,1\nC1,A,2024-01-03,2\nC2,B,2024-01-02,1\n")
     out = str(tmp_path / "ds")
-    assert jobs.main(["build-dataset", "--input", str(csv), "--output", out]) == 0
+    assert jobs.main(["build-dataset", "--input", str(csv), "--output", out, "--preview", "2"]) == 0
+    assert len(jobs.preview(spark, out, 2)) == 2
     assert spark.read.parquet(out).count() == 3
     root = stage_root(spark)
     assert not os.path.exists(root.replace("file:", ""))
