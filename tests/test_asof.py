@@ -99,3 +99,18 @@ def test_bucketed_dates_equal_unbucketed(spark, direction):
     plain = sorted(map(tuple, asof_join(lf, rf, "g", "d", direction).collect()), key=repr)
     sliced = sorted(map(tuple, asof_join(lf, rf, "g", "d", direction, bucket=10).collect()), key=repr)
     assert plain == sliced
+
+
+@pytest.mark.parametrize("direction", ["backward", "forward", "nearest"])
+def test_bucketed_timestamps_equal_unbucketed(spark, direction):
+    import datetime as dt
+
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    left = [("a" if i % 2 else "b", base + dt.timedelta(seconds=rnd.randint(0, 5000))) for i in range(120)]
+    right = sorted({("a" if i % 3 else "b", base + dt.timedelta(seconds=rnd.randint(0, 5000))) for i in range(50)})
+    lf = spark.createDataFrame(left, "g string, t timestamp")
+    rf = spark.createDataFrame([(g, t, i) for i, (g, t) in enumerate(right)], "g string, t timestamp, v int")
+    plain = sorted(map(tuple, asof_join(lf, rf, "g", "t", direction).collect()), key=repr)
+    sliced = sorted(map(tuple, asof_join(lf, rf, "g", "t", direction, bucket=300).collect()), key=repr)
+    assert plain == sliced

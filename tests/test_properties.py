@@ -116,3 +116,14 @@ def test_article_join_strategies_agree(tx, latest):
         cols = cols or df.columns
         out.append(sorted(map(tuple, df.select(*cols).collect()), key=repr))
     assert out[0] == out[1]
+
+
+def test_partkey_mapping_keeps_every_line(spark):
+    from rebuy.sources import load_table
+
+    tx = transactions_from_tables(spark, SF_SMALL, "l_partkey")
+    lines = load_table(spark, SF_SMALL, "lineitem").join(
+        load_table(spark, SF_SMALL, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
+    )
+    assert tx.count() == lines.count()
+    assert dict(tx.dtypes) == {"customer_id": "string", "article_id": "string", "order_date": "date", "quantity": "bigint"}
