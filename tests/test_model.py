@@ -137,3 +137,17 @@ def test_cli_main_runs_and_cleans_stages(spark, tmp_path):
     assert spark.read.parquet(out).count() == 3
     root = stage_root(spark)
     assert not os.path.exists(root.replace("file:", ""))
+
+
+def test_build_dataset_job_from_typed_parquet(spark, tx, tmp_path):
+    from rebuy.plans import jobs
+
+    src = str(tmp_path / "tx_parquet")
+    tx.write.parquet(src)
+    out = str(tmp_path / "ds_from_parquet")
+    rep = jobs.run_build_dataset(spark, src, out, fmt="parquet")
+    assert rep["load"]["dropped_null_id"] == 0 and rep["load"]["dropped_bad_date"] == 0
+    got = spark.read.parquet(out)
+    want = build_dataset(tx)
+    assert got.count() == want.count() == rep["rows"]
+    assert got.exceptAll(want.select(*got.columns)).count() == 0
