@@ -1,6 +1,5 @@
 """Model layer: AUC, planted signal, save/load, top-N, sinks, jobs."""
 
-import json
 
 import pytest
 from pyspark.ml import PipelineModel
