@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rebuy.config import COLS, REQUIRED_COLUMNS, TX_SCHEMA
 from rebuy.functions import parse_date, parse_quantity
@@ -20,6 +21,25 @@ def check_required(df: DataFrame) -> None:
         raise ValueError(f"Missing required columns: {missing}")
 
 
+def _as_date(raw: DataFrame, name: str):
+    """Typed columns convert directly; only text goes through parsing."""
+    dtype = raw.schema[name].dataType
+    if isinstance(dtype, T.DateType):
+        return F.col(name)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.to_date(name)
+    return parse_date(name)
+
+
+def _as_quantity(raw: DataFrame, name: str):
+    dtype = raw.schema[name].dataType
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return F.coalesce(F.col(name).cast("bigint"), F.lit(0).cast("bigint"))
+    if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
+        return F.coalesce(F.col(name).try_cast("bigint"), F.lit(0).cast("bigint"))
+    return parse_quantity(name)
+
+
 def coerce_transactions(raw: DataFrame, observation: Observation | None = None) -> DataFrame:
     """Text columns -> ``TX_SCHEMA``; rows with a null id or date are dropped.
 
@@ -30,8 +50,8 @@ def coerce_transactions(raw: DataFrame, observation: Observation | None = None)
     typed = raw.select(
         F.col(COLS.customer_id).cast("string").alias(COLS.customer_id),
         F.col(COLS.article_id).cast("string").alias(COLS.article_id),
-        parse_date(COLS.order_date).alias(COLS.order_date),
-        parse_quantity(COLS.quantity).alias(COLS.quantity),
+        _as_date(raw, COLS.order_date).alias(COLS.order_date),
+        _as_quantity(raw, COLS.quantity).alias(COLS.quantity),
     )
     if observation is not None:
         null_id = F.col(COLS.customer_id).isNull() | F.col(COLS.article_id).isNull()

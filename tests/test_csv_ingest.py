@@ -76,3 +76,14 @@ def test_empty_input_gives_empty_dataset(spark, tmp_path):
     ds = build_dataset(df)
     assert ds.count() == 0
     assert "label" in ds.columns and len(ds.columns) == 17
+
+
+def test_typed_columns_convert_without_text(spark):
+    from rebuy.sources import coerce_transactions
+
+    raw = spark.createDataFrame(
+        [(7, "A", dt.datetime(2024, 5, 1, 13, 0), 2.9), (8, "B", None, float("nan")), (9, "C", dt.datetime(2024, 5, 2), float("inf"))],
+        "customer_id long, article_id string, order_date timestamp, quantity double",
+    )
+    rows = sorted(map(tuple, coerce_transactions(raw).collect()))
+    assert rows == [("7", "A", dt.date(2024, 5, 1), 2), ("9", "C", dt.date(2024, 5, 2), 0)]
