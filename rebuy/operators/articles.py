@@ -1,8 +1,10 @@
 """Article operators (P6): popularity curve, repurchase cycle, peak month.
 
-All three are grouped aggregates with map-side combine; the only window
-(popularity) runs per article over at most one row per calendar day, so a
-best-selling article never puts its raw lines into one task.
+Popularity is a grouped count plus a running sum; the median cycle and the
+peak month come out of one aggregation. All aggregates combine map-side, and
+the only window (popularity) runs per article over at most one row per
+calendar day, so a best-selling article never puts its raw lines into one
+task.
 """
 
 from __future__ import annotations
