@@ -114,3 +114,12 @@ def test_bucketed_timestamps_equal_unbucketed(spark, direction):
     plain = sorted(map(tuple, asof_join(lf, rf, "g", "t", direction).collect()), key=repr)
     sliced = sorted(map(tuple, asof_join(lf, rf, "g", "t", direction, bucket=300).collect()), key=repr)
     assert plain == sliced
+
+
+def test_supplied_left_keys_give_the_same_result(spark):
+    left = spark.createDataFrame([("a", 5, 1), ("a", 9, 2), ("b", 3, 3)], "g string, t long, lv long")
+    right = spark.createDataFrame([("a", 4, 10), ("a", 8, 20), ("b", 1, 30)], "g string, t long, v long")
+    extra = spark.createDataFrame([("a", 5), ("a", 9), ("b", 3), ("a", 100), ("c", 1)], "g string, t long")
+    plain = sorted(map(tuple, asof_join(left, right, "g", "t").collect()))
+    keyed = sorted(map(tuple, asof_join(left, right, "g", "t", left_keys=extra).collect()))
+    assert plain == keyed == [("a", 5, 1, 10), ("a", 9, 2, 20), ("b", 3, 3, 30)]
