@@ -66,3 +66,20 @@ def test_query_matches_oracle_on_random_tables(spark, dirs, seed, name):
     assert sorted(s.columns) == sorted(o.columns)
     assert len(s) == len(o)
     assert _norm(s, 9) == _norm(o, 9)
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+@pytest.mark.parametrize("how", ["days", "asof"])
+@pytest.mark.parametrize("latest", [False, True])
+def test_both_article_paths_on_random_tables(spark, dirs, seed, how, latest):
+    from rebuy.plans.features import assemble_features
+    from rebuy.sources import transactions_from_tables
+
+    d = dirs[seed]
+    con = duckdb.connect()
+    for t in ("orders", "lineitem", "part"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{d}/{t}.parquet')")
+    s = assemble_features(transactions_from_tables(spark, d, "p_brand"), latest_only=latest, article_join=how).toPandas()
+    o = con.sql(SQL["features_latest" if latest else "features"]).df()
+    assert len(s) == len(o)
+    assert _norm(s, 9) == _norm(o[s.columns], 9)
