@@ -13,6 +13,7 @@ day = date(o_orderdate), quantity = l_quantity, article = p_brand.
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -645,9 +646,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_dataset(spark, "/root/testdata/sf0.001")
 
 
+def _text_operators() -> tuple[dict, dict]:
+    """Queries and SQL of the ``llm`` subpackage and the pipeline; empty where they are not installed."""
+    found: tuple[dict, dict] = ({}, {})
+    for module in ("rebuy.llm.registry", "corpus_pipeline"):
+        try:
+            loaded = importlib.import_module(module)
+        except ModuleNotFoundError as missing:
+            if not (missing.name == "corpus_pipeline" or (missing.name or "").startswith("rebuy.llm")):
+                raise
+            continue
+        found[0].update(loaded.QUERIES)
+        found[1].update(loaded.ORACLES)
+    return found
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return QUERIES | _text_operators()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return _ORACLES | _text_operators()[1]
