@@ -33,12 +33,12 @@ OP10_SQL = r"""
 WITH dw AS (
     SELECT doc_id, list_filter(string_split_regex(
                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-               '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), w -> w <> '') AS w
+               '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
     FROM documents),
 bw AS (
     SELECT item_id, list_filter(string_split_regex(
                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-               '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), w -> w <> '') AS w
+               '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
     FROM benchmark),
 win AS (
     SELECT DISTINCT item_id, least(len(w), 13) AS n,
