@@ -7,9 +7,11 @@ group of near copies, but it may lose none between groups.
 1. *Equal sets* become one node, whatever their number.
 2. *Index.* Each node is listed under its prefix: the first
    ``n - ceil(t n) + 1`` shingles in one order of all shingles, which is that
-   of their hashes, but for shingles found in at least ``COMMON`` prefixes,
-   which come last, rarest first. Any such order is valid: linked sets always
-   meet in a list. Common passages so leave the lists.
+   of their hashes, but for common ones, which come last. Linked sets meet in
+   a list under any order, so what counts as common touches only the cost: a
+   shingle does if its low bits are marked in a map of fixed size, made from
+   those that ``COMMON`` documents or more have in the first 15 % of their
+   hash order. Passages that many documents share so leave the lists.
 3. *Answers from a similar set.* Each node takes as its home the pivot with
    which it shares most lists, and keeps only its difference from it. For x
    and y of a home r, the intersection follows from r's:
@@ -43,11 +45,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rebuy.llm.common import KEY, key_join, keyed, stage_table
+from rebuy.llm.common import KEY, keyed, stage_table
 from rebuy.llm.components import connected
 
-#: A shingle in this many prefixes or more goes to the end of the order.
+#: A shingle that this many documents have near the start of their order goes to the end of it.
 COMMON = 32
+#: Bits, a power of two, of the map that marks common shingles, and the most for that of the documents whose sets are needed.
+COMMON_BITS, MOST_BITS = 2**24, 2**28
 #: Entries of a list, or members of a home, in one block.
 BLOCK = 2048
 #: Entries of a list that are skipped together by position.
@@ -82,33 +86,87 @@ def _texts(batch: pa.RecordBatch) -> list[bytes | None]:
     return batch.column("_text").cast(pa.binary()).to_pylist()
 
 
-def _prefixes(width: int, threshold: int):
+def _prefix_size(n: int, threshold: int) -> int:
+    return n + (-threshold * n // 100) + 1
+
+
+def _heads(width: int, threshold: int):
+    """Size and name of each set, and the shingles that can come into its prefix, in the order of their hashes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, names, heads = [], [], []
             for text in _texts(batch):
                 s = shingles(text, width)
                 sizes.append(len(s))
-                names.append(int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).view(np.int64))) if len(s) else None)
-                heads.append(s[: len(s) + (-threshold * len(s) // 100) + 1] if len(s) else s)
+                names.append(_name(s) if len(s) else None)
+                heads.append(s[: _prefix_size(len(s), threshold) * 3 // 2] if len(s) else s)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), batch.column("_h"), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()),
                  pa.array(heads, pa.list_(pa.int64()))],
-                ["_id", "_h", "n", "sid", "prefix"],
+                ["_id", "_h", "n", "sid", "head"],
             )
 
     return run
 
 
-def _sets(width: int):
+def _name(s: np.ndarray) -> int:
+    return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).view(np.int64))
+
+
+def _prefixes(width: int, threshold: int, common):
+    """The prefixes in the final order: common shingles last, hashes in order within either part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, sizes, heads = [], [], []
+            for text in _texts(batch):
+                s = shingles(text, width)
+                if len(s):
+                    late = _marked(common.value, s)
+                    names.append(_name(s))
+                    sizes.append(len(s))
+                    heads.append(np.concatenate([s[~late], s[late]])[: _prefix_size(len(s), threshold)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(heads, pa.list_(pa.int64()))],
+                ["sid", "n", "prefix"],
+            )
+
+    return run
+
+
+def _sets(width: int, wanted):
+    """The whole sets of the documents whose key is marked."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(_marked(wanted.value, batch.column("_key").to_numpy())))
             found = [shingles(text, width) for text in _texts(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column("sid"), pa.array(found, pa.list_(pa.int64()))], ["sid", "s"])
+            names = [_name(s) if len(s) else None for s in found]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["sid", "s"]
+            )
 
     return run
 
 
+def _marked(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = (values & np.int64(len(bits) * 64 - 1)).astype(np.int64)
+    return (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
+def _bitmap(values: DataFrame, bits: int) -> np.ndarray:
+    """``bits`` bits, a power of two; those that the low ends of the values (random longs) name are set."""
+    at = values.select(F.col(values.columns[0]).bitwiseAND(F.lit(bits - 1).cast("long")).alias("at"))
+    words = at.groupBy(F.shiftright("at", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(at & 63L AS int))")).alias("bits")
+    )
+    found = words.toArrow()  # at most bits / 64 rows
+    made = np.zeros(bits // 64, dtype=np.uint64)
+    made[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return made
+
+
 def _blocks(count: Column, size: int = BLOCK) -> Column:
     return F.ceil(count / F.lit(size)).cast("int")
 
@@ -209,52 +267,43 @@ class _Join:
         kinds = dict(self.base.dtypes)
         self.rows = stage_table(
             self.base.mapInArrow(
-                _prefixes(width, threshold), f"_id {kinds['_id']}, _h long, n long, sid long, prefix array<long>"
+                _heads(width, threshold), f"_id {kinds['_id']}, _h long, n long, sid long, head array<long>"
             ),
             "op2_rows",
         )
 
-    def _prefix_size(self) -> Column:
-        return F.col("n") - F.ceil(F.col("n") * F.lit(self.threshold) / 100) + 1
+    def _marks(self, values: DataFrame, bits: int):
+        return self.base.sparkSession.sparkContext.broadcast(_bitmap(values, bits))
 
     def _postings(self) -> DataFrame:
-        """``tok, sid, n, pos`` of the nodes that meet another in a list, in the final order."""
-        nodes = self.rows.filter("n > 0").groupBy("sid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+        """``tok, sid, n, pos, df, pivot`` of the nodes that meet another in a list, in the final order."""
+        heads = self.rows.select(F.explode("head").alias("tok"))
+        common = heads.groupBy("tok").agg(F.count("*").alias("df")).filter(F.col("df") >= COMMON).select("tok")
+        made = self.base.select("_text").mapInArrow(
+            _prefixes(self.width, self.threshold, self._marks(common, COMMON_BITS)),
+            "sid long, n long, prefix array<long>",
+        )
+        nodes = made.groupBy("sid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
         nodes = stage_table(nodes, "op2_nodes")
         every = nodes.select("sid", "n", F.posexplode("prefix").alias("pos", "tok"))
-        count = every.groupBy("tok").agg(F.count("*").alias("df")).filter("df > 1")
-        count = stage_table(count, "op2_lists")
-        met = stage_table(every.join(count, "tok"), "op2_met")
-        self.met_nodes = met.select("sid").distinct()
-
-        named = self.rows.groupBy("sid").agg(F.first(F.struct(*KEY)).alias("_k")).join(self.met_nodes, "sid", "left_semi")
-        texts = key_join(self.base, named.select("sid", "_k.*"), "inner").dropDuplicates(["sid"])
-        self.sets = stage_table(
-            texts.select("sid", "_text").mapInArrow(_sets(self.width), "sid long, s array<long>"), "op2_sets"
-        )
-
-        common = count.filter(F.col("df") >= COMMON).select("tok")
-        touched = met.join(common, "tok", "left_semi").select("sid").distinct()
-        wide = self.sets.join(touched, "sid", "left_semi").select(F.explode("s").alias("tok"))
-        last = wide.groupBy("tok").agg(F.count("*").alias("df")).filter(F.col("df") >= COMMON)
-        # A shingle that heads a node outside the lists must keep its place, or that node's prefix would change.
-        fixed = every.join(last, "tok", "left_semi").join(self.met_nodes, "sid", "left_anti").select("tok").distinct()
-        last = stage_table(last.join(fixed, "tok", "left_anti"), "op2_common")
-        moved = stage_table(every.join(last, "tok", "left_semi").select("sid", "n").distinct(), "op2_moved")
-        order = Window.partitionBy("sid").orderBy(F.coalesce("df", F.lit(0)), "tok")
-        again = (
-            self.sets.join(moved, "sid")
-            .select("sid", "n", F.explode("s").alias("tok"))
-            .join(last, "tok", "left")
-            .withColumn("pos", F.row_number().over(order) - 1)
-            .filter(F.col("pos") < self._prefix_size())
-            .select("tok", "sid", "n", "pos")
+        lists = every.groupBy("tok").agg(F.count("*").alias("df"), F.min(F.xxhash64("sid")).alias("first"))
+        met = stage_table(every.join(lists.filter("df > 1"), "tok"), "op2_met")
+        pivots = met.filter(F.xxhash64("sid") == F.col("first")).groupBy("tok").agg(F.min("sid").alias("pivot"))
+        return stage_table(met.drop("first").join(pivots, "tok"), "op2_postings")
+
+    def _load_sets(self, postings: DataFrame) -> None:
+        """``sid, s``: the whole set of each node that meets another, from one document that has it."""
+        met = postings.select("sid").distinct()
+        key = F.xxhash64(*KEY)
+        named = self.rows.filter("n > 0").groupBy("sid").agg(F.min(key).alias("_key")).join(met, "sid", "left_semi")
+        named = stage_table(named, "op2_named")
+        bits = min(MOST_BITS, max(2**16, 1 << (16 * named.count()).bit_length()))
+        wanted = self._marks(named.select("_key"), bits)
+        found = self.base.select(key.alias("_key"), "_text").mapInArrow(
+            _sets(self.width, wanted), "sid long, s array<long>"
         )
-        same = every.join(self.met_nodes, "sid", "left_semi").join(moved, "sid", "left_anti")
-        final = stage_table(same.select("tok", "sid", "n", "pos").unionAll(again), "op2_prefixes")
-        count = final.groupBy("tok").agg(F.count("*").alias("df"), F.min(F.struct(F.xxhash64("sid"), "sid")).alias("p"))
-        count = count.filter("df > 1").select("tok", "df", F.col("p.sid").alias("pivot"))
-        return stage_table(final.join(count, "tok"), "op2_postings")
+        found = found.join(met, "sid", "left_semi").groupBy("sid").agg(F.first("s").alias("s"))
+        self.sets = stage_table(found, "op2_sets")
 
     def _homes(self, postings: DataFrame) -> DataFrame:
         """``sid, home, n, n_minus, n_plus, d, tight``: the difference of each node from its pivot."""
@@ -356,6 +405,7 @@ class _Join:
 
     def run(self) -> DataFrame:
         postings = self._postings()
+        self._load_sets(postings)
         homes = self._homes(postings)
         tight = homes.filter("tight").select(F.col("sid").alias("u"), F.col("home").alias("v"))
         first = stage_table(tight.unionAll(self._home_links(homes)), "op2_links")
