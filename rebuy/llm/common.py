@@ -9,12 +9,15 @@ input can't clash.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rebuy.sources.stage import stage_table
 
-__all__ = ["KEY", "keyed", "key_join", "stage_table", "table"]
+__all__ = ["KEY", "key_join", "keyed", "lower_ascii", "pieces", "stage_table", "table"]
 
 #: The columns that name a document inside the operators.
 KEY = ["_id", "_h"]
@@ -45,6 +48,13 @@ def key_join(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     return left.join(right, on, how).drop("_r_id", "_r_h")
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``rows`` rows, so that a task's Python objects stay few."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def lower_ascii(column: Column) -> Column:
     """A-Z to a-z; every other character stays as it is."""
     return F.translate(column, _UPPER, _LOWER)
