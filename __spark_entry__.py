@@ -13,12 +13,14 @@ day = date(o_orderdate), quantity = l_quantity, article = p_brand.
 
 from __future__ import annotations
 
+import functools
 import importlib
 import os
 import sys
 from collections.abc import Callable
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+ROOT = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, ROOT)
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
@@ -646,6 +648,20 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_dataset(spark, "/root/testdata/sf0.001")
 
 
+def _importable(query: Callable) -> Callable:
+    """``query``, with this folder on the path of the Python workers that it starts."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        workers = spark.sparkContext.environment
+        paths = [p for p in workers.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if ROOT not in paths:
+            workers["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
+        return query(spark, sf_dir)
+
+    return run
+
+
 def _text_operators() -> tuple[dict, dict]:
     """Queries and SQL of the ``llm`` subpackage and the pipeline; empty where they are not installed."""
     found: tuple[dict, dict] = ({}, {})
@@ -656,7 +672,7 @@ def _text_operators() -> tuple[dict, dict]:
             if not (missing.name == "corpus_pipeline" or (missing.name or "").startswith("rebuy.llm")):
                 raise
             continue
-        found[0].update(loaded.QUERIES)
+        found[0].update({name: _importable(query) for name, query in loaded.QUERIES.items()})
         found[1].update(loaded.ORACLES)
     return found
 

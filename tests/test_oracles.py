@@ -12,8 +12,8 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 import __spark_entry__ as entry  # noqa: E402
 from check_oracles import TABLES, _norm  # noqa: E402
 
-SQL = entry.oracle_sql()
-QUERIES = entry.queries()
+SQL = entry._ORACLES
+QUERIES = entry.QUERIES
 
 
 @pytest.fixture(scope="module")
