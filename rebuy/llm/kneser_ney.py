@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rebuy.llm.common import KEY, stage_table
+from rebuy.llm.common import KEY, pieces, stage_table
 
 ORDER = 4
 ALPHABET = 126
@@ -92,7 +92,7 @@ def _runs(text: bytes | None, alphabet: np.ndarray) -> Iterator[np.ndarray]:
 
 def _count_characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found: dict[str, dict[int, int]] = {}
-    for batch in batches:
+    for batch in pieces(batches):
         for name, text in zip(batch.column("_class").to_pylist(), batch.column("_text").cast(pa.binary()).to_pylist(), strict=True):
             own = found.setdefault(name, {})
             for points in _pieces(text):
@@ -126,7 +126,7 @@ def _count_grams(alphabets):
         found: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         waiting: dict[str, list[np.ndarray]] = {}
         size: dict[str, int] = {}
-        for batch in batches:
+        for batch in pieces(batches):
             texts = batch.column("_text").cast(pa.binary()).to_pylist()
             for name, text in zip(batch.column("_class").to_pylist(), texts, strict=True):
                 for run in _runs(text, alphabets.value.get(name, np.empty(0, dtype=np.int64))):
@@ -233,7 +233,7 @@ def _score(alphabets, model, shards: int, shard: int):
     own_name = uuid.uuid4().hex
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             sums, counts = [], []
             texts = batch.column("_text").cast(pa.binary()).to_pylist()
             for name, text in zip(batch.column("_class").to_pylist(), texts, strict=True):
@@ -285,7 +285,8 @@ def perplexities(docs: DataFrame, trusted: DataFrame, *, doc_id: str, text: str,
     found = {r.cls: np.array(r.points, dtype=np.int64) for r in chosen.collect()}  # ALPHABET numbers a class at most
     alphabets = spark.sparkContext.broadcast(found)
 
-    learn = rows.join(trusted, rows["_id"] == trusted["_tid"], "left_semi").select("_class", "_text")
+    # Trusted ids grow with the corpus: they are never broadcast.
+    learn = rows.join(trusted.hint("merge"), rows["_id"] == trusted["_tid"], "left_semi").select("_class", "_text")
     grams = learn.mapInArrow(_count_grams(alphabets), "cls string, g long, c long")
     grams = stage_table(grams.groupBy("cls", "g").agg(F.sum("c").alias("c")), "op8_grams")
     sizes = chosen.select("cls", (F.size("points") + _FIRST).alias("v"))
