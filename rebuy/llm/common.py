@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from rebuy.sources.stage import stage_table
 
-__all__ = ["KEY", "key_join", "keyed", "lower_ascii", "pieces", "stage_table", "table"]
+__all__ = ["KEY", "key_join", "keyed", "lower_ascii", "packed", "pieces", "stage_table", "table", "unpacked"]
 
 #: The columns that name a document inside the operators.
 KEY = ["_id", "_h"]
@@ -55,6 +55,16 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+def packed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``_id, _h, _row``: every row whole, in a struct, so that none of its columns can clash; ``unpacked`` gives them back."""
+    body = docs[text].cast("string")
+    return docs.select(docs[doc_id].alias("_id"), F.xxhash64(body).alias("_h"), F.struct(*(docs[c] for c in docs.columns)).alias("_row"))
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    return rows.select("_row.*")
+
+
 def lower_ascii(column: Column) -> Column:
     """A-Z to a-z; every other character stays as it is."""
     return F.translate(column, _UPPER, _LOWER)

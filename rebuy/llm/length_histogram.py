@@ -29,7 +29,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rebuy.llm.common import stage_table
+from rebuy.llm.common import pieces, stage_table
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 MAX_VOCABULARY = 64 * 1024 * 1024
@@ -60,7 +60,7 @@ def token_counts(docs: DataFrame, *, text: str = "text", vocabulary: str = VOCAB
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoding(shared.value, pattern)
-        for batch in batches:
+        for batch in pieces(batches):
             texts = batch.column(0).cast(pa.binary()).to_pylist()
             sizes = [len(encoder.encode_ordinary(t.decode("utf-8", "replace"))) if t else 0 for t in texts]
             yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64())], ["n_tokens"])

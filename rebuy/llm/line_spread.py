@@ -25,13 +25,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rebuy.llm.common import KEY, key_join, keyed, stage_table
+from rebuy.llm.common import KEY, key_join, keyed, packed, stage_table
 
 #: Sites from which on a line is boilerplate.
 MIN_SITES = 10
 #: Share of the threshold around it where sites are counted exactly.
 BAND = 0.2
 LG_K = 12
+#: Columns that are added; an input column of such a name gives way.
+ADDED = ("_n_lines", "_n_dropped", "_emptied")
 
 _LINES = "split(_text, '\\n', -1)"
 
@@ -87,22 +89,18 @@ def drop_spread_lines(
     )
     dropped = joined.filter(~stays).groupBy(*KEY).agg(F.collect_list("pos").alias("_dropped"))
 
-    own = docs.withColumns(
-        {"_id": docs[doc_id], "_h": F.xxhash64(docs[text].cast("string")), "_text": docs[text].cast("string")}
-    )
-    both = key_join(own, dropped, "left")
+    both = key_join(packed(docs, doc_id, text), dropped, "left")
     # The lines are named once, so they are split once.
-    both = both.withColumn("_lines", F.expr(_LINES))
+    both = both.withColumn("_text", F.col("_row")[text].cast("string")).withColumn("_lines", F.expr(_LINES))
     left = F.expr(
-        "array_join(transform(array_except(sequence(0, size(_lines) - 1), _dropped), i -> get(_lines, i)), '\\n')"
+        "array_join(transform(array_except(sequence(0, size(_lines) - 1), _dropped), i -> get(_lines, i)), '\n')"
     )
     changed = both.withColumn("_new", F.when(F.col("_dropped").isNotNull(), left).otherwise(F.col("_text")))
     blank = r"btrim(_new, ' \t\r\n') = ''"
-    return changed.withColumns(
-        {
-            text: F.col("_new"),
-            "_n_lines": F.coalesce(F.size("_lines"), F.lit(0)).cast("long"),
-            "_n_dropped": F.coalesce(F.size("_dropped"), F.lit(0)).cast("long"),
-            "_emptied": F.col("_dropped").isNotNull() & F.expr(blank),
-        }
-    ).select(*docs.columns, "_n_lines", "_n_dropped", "_emptied")
+    kept = [c for c in docs.columns if c not in ADDED]
+    return changed.select(
+        *((F.col("_new") if c == text else F.col("_row")[c]).alias(c) for c in kept),
+        F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("_n_lines"),
+        F.coalesce(F.size("_dropped"), F.lit(0)).cast("long").alias("_n_dropped"),
+        F.coalesce(F.col("_dropped").isNotNull() & F.expr(blank), F.lit(False)).alias("_emptied"),
+    )
