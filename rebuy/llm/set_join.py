@@ -12,16 +12,20 @@ group of near copies, but it may lose none between groups.
    shingle does if its low bits are marked in a map of fixed size, made from
    those that ``COMMON`` documents or more have in the first 15 % of their
    hash order. Passages that many documents share so leave the lists.
-3. *Answers from a similar set.* Each node takes as its home the pivot with
-   which it shares most lists, and keeps only its difference from it. For x
+3. *Answers from a similar set.* Nodes of a large group of similar sets take
+   as their home the pivot with which they share most lists, and keep only
+   their difference from it. For x
    and y of a home r, the intersection follows from r's:
    ``|x & y| = |r| - |r-x| - |r-y| + |dx & dy|``, where ``dx`` is all by which
    x differs from r. Members linked to r need no comparison with each other;
    the others are compared with every member through the differences alone.
-4. *Index-level skipping.* Pairs of different homes and components that share
-   a list are compared within the range of sizes that can link; blocks of a
-   list whose positions leave too few shingles for the needed overlap are
-   skipped whole. What remains is verified on the full sets.
+4. *Index-level skipping.* Pairs of different homes that share a list are
+   compared within the range of sizes that can link. Long lists are walked in
+   blocks, and blocks whose positions leave too few shingles for the needed
+   overlap are skipped whole. Short lists are joined as they are; a pair found
+   there goes on if one of its positions leaves enough, and if it shares as
+   many prefix shingles as linked sets of these sizes must. What remains is
+   verified on the full sets.
 5. Links become components (``components.connected``).
 
 Hot lists and hot homes are cut into blocks, and a task holds one pair of
@@ -45,7 +49,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rebuy.llm.common import KEY, keyed, stage_table
+from rebuy.llm.common import KEY, keyed, pieces, stage_table
 from rebuy.llm.components import connected
 
 #: A shingle that this many documents have near the start of their order goes to the end of it.
@@ -56,8 +60,10 @@ COMMON_BITS, MOST_BITS = 2**24, 2**28
 BLOCK = 2048
 #: Entries of a list that are skipped together by position.
 SKIP = 64
-#: Least similarity, in percent, of a node to its home.
-HOME = 50
+#: Lists longer than this are walked in blocks.
+LONG = 64
+#: Least members of a home. The nodes of smaller groups are compared as pairs.
+GROUP = 32
 
 
 def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -94,7 +100,7 @@ def _heads(width: int, threshold: int):
     """Size and name of each set, and the shingles that can come into its prefix, in the order of their hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             sizes, names, heads = [], [], []
             for text in _texts(batch):
                 s = shingles(text, width)
@@ -118,7 +124,7 @@ def _prefixes(width: int, threshold: int, common):
     """The prefixes in the final order: common shingles last, hashes in order within either part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             names, sizes, heads = [], [], []
             for text in _texts(batch):
                 s = shingles(text, width)
@@ -139,7 +145,7 @@ def _sets(width: int, wanted):
     """The whole sets of the documents whose key is marked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             batch = batch.filter(pa.array(_marked(wanted.value, batch.column("_key").to_numpy())))
             found = [shingles(text, width) for text in _texts(batch)]
             names = [_name(s) if len(s) else None for s in found]
@@ -150,6 +156,33 @@ def _sets(width: int, wanted):
     return run
 
 
+def _in_lists(shared):
+    """The postings of the shingles that are marked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, 2048):
+            prefix = batch.column("prefix")
+            sizes = np.diff(prefix.offsets.to_numpy())  # of the slice
+            tok = prefix.flatten().to_numpy()
+            node = np.repeat(np.arange(batch.num_rows), sizes)
+            pos = np.arange(len(tok)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            keep = _marked(shared.value, tok)
+            columns = [
+                pa.array(tok[keep]),
+                batch.column("sid").take(pa.array(node[keep])),
+                batch.column("n").take(pa.array(node[keep])),
+                pa.array(pos[keep].astype(np.int32)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["tok", "sid", "n", "pos"])
+
+    return run
+
+
+def _map_bits(count: int) -> int:
+    """Bits of a map for so many values: a power of two, 16 a value or more, as far as the bound allows."""
+    return min(MOST_BITS, max(2**16, 1 << (16 * count).bit_length()))
+
+
 def _marked(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     at = (values & np.int64(len(bits) * 64 - 1)).astype(np.int64)
     return (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
@@ -225,14 +258,14 @@ def _shared(left: pa.ChunkedArray, right: pa.ChunkedArray) -> np.ndarray:
 
 
 def _across(threshold: int):
-    """Pairs of a list, or of two of its blocks, that may link and lie in different homes and components."""
+    """Pairs of a list, or of two of its blocks, that may link and lie in different homes."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         _, low, high = (k.as_py() for k in key)
         got: tuple[list, list] = ([], [])
         order = np.argsort(table.column("n").to_numpy(), kind="stable")
-        sid, n, left, home, root, block = (
-            table.column(c).to_numpy()[order] for c in ("sid", "n", "remaining", "home", "root", "block")
+        sid, n, left, home, block = (
+            table.column(c).to_numpy()[order] for c in ("sid", "n", "remaining", "home", "block")
         )
         starts = np.arange(0, len(n), SKIP)
         most = np.maximum.reduceat(left, starts)
@@ -248,7 +281,7 @@ def _across(threshold: int):
                 j = np.arange(max(at, first), min(at + SKIP, past))
                 need = threshold * (n[i] + n[j])
                 ok = np.minimum(left[i], left[j]) * (100 + threshold) >= need
-                ok &= (home[j] != home[i]) & (root[j] != root[i])
+                ok &= home[j] != home[i]
                 ok &= (home[j] == major) | (sid[j] < sid[i])
                 if low != high:
                     ok &= block[j] != block[i]
@@ -285,60 +318,58 @@ class _Join:
         )
         nodes = made.groupBy("sid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
         nodes = stage_table(nodes, "op2_nodes")
-        every = nodes.select("sid", "n", F.posexplode("prefix").alias("pos", "tok"))
-        lists = every.groupBy("tok").agg(F.count("*").alias("df"), F.min(F.xxhash64("sid")).alias("first"))
-        met = stage_table(every.join(lists.filter("df > 1"), "tok"), "op2_met")
-        pivots = met.filter(F.xxhash64("sid") == F.col("first")).groupBy("tok").agg(F.min("sid").alias("pivot"))
-        return stage_table(met.drop("first").join(pivots, "tok"), "op2_postings")
-
-    def _load_sets(self, postings: DataFrame) -> None:
-        """``sid, s``: the whole set of each node that meets another, from one document that has it."""
-        met = postings.select("sid").distinct()
+        lists = nodes.select(F.explode("prefix").alias("tok")).groupBy("tok").agg(F.count("*").alias("df"))
+        lists = stage_table(lists.filter("df > 1"), "op2_lists")
+        # Most shingles head one node only; what the map lets through besides falls to the join.
+        shared = self._marks(lists.select("tok"), _map_bits(lists.count()))
+        kept = nodes.mapInArrow(_in_lists(shared), "tok long, sid long, n long, pos int")
+        met = stage_table(kept.join(lists, "tok"), "op2_met")
+        pivots = met.groupBy("tok").agg(F.min(F.struct(F.xxhash64("sid"), "sid")).alias("p"))
+        return stage_table(met.join(pivots.select("tok", F.col("p.sid").alias("pivot")), "tok"), "op2_postings")
+
+    def _load_sets(self, met: DataFrame) -> None:
+        """``sid, s``: the whole set of each node in ``met``, from one document that has it."""
         key = F.xxhash64(*KEY)
         named = self.rows.filter("n > 0").groupBy("sid").agg(F.min(key).alias("_key")).join(met, "sid", "left_semi")
         named = stage_table(named, "op2_named")
-        bits = min(MOST_BITS, max(2**16, 1 << (16 * named.count()).bit_length()))
-        wanted = self._marks(named.select("_key"), bits)
+        wanted = self._marks(named.select("_key"), _map_bits(named.count()))
         found = self.base.select(key.alias("_key"), "_text").mapInArrow(
             _sets(self.width, wanted), "sid long, s array<long>"
         )
-        found = found.join(met, "sid", "left_semi").groupBy("sid").agg(F.first("s").alias("s"))
+        found = found.join(named, "sid", "left_semi").groupBy("sid").agg(F.first("s").alias("s"))
         self.sets = stage_table(found, "op2_sets")
 
-    def _homes(self, postings: DataFrame) -> DataFrame:
-        """``sid, home, n, n_minus, n_plus, d, tight``: the difference of each node from its pivot."""
+    def _prefix(self, n: Column) -> Column:
+        return n - F.ceil(n * F.lit(self.threshold) / 100) + 1
+
+    def _chosen_homes(self, postings: DataFrame) -> DataFrame:
+        """``home, sid, n``: the pivot that shares most lists, if those are a quarter of the prefix, and ``GROUP`` nodes choose it."""
         best = Window.partitionBy("sid").orderBy(F.desc("shared"), "pivot")
-        chosen = (
+        chosen = stage_table(
             postings.filter("pivot <> sid")
             .groupBy("sid", "n", "pivot")
             .agg(F.count("*").alias("shared"))
+            .filter(4 * F.col("shared") >= self._prefix(F.col("n")))
             .withColumn("place", F.row_number().over(best))
             .filter("place = 1")
+            .select("sid", "n", F.col("pivot").alias("home")),
+            "op2_chosen",
         )
+        large = chosen.groupBy("home").agg(F.count("*").alias("members")).filter(F.col("members") >= GROUP)
+        return stage_table(chosen.join(large, "home", "left_semi"), "op2_large")
+
+    def _homes(self, chosen: DataFrame) -> DataFrame:
+        """``sid, home, n, n_minus, n_plus, d, tight``: the difference of each node from its pivot."""
         both = (
             chosen.join(self.sets, "sid")
-            .join(self.sets.select(F.col("sid").alias("pivot"), F.col("s").alias("r")), "pivot")
-            .select(
-                "sid",
-                F.col("pivot").alias("home"),
-                "n",
-                F.array_except("r", "s").alias("minus"),
-                F.array_except("s", "r").alias("plus"),
-            )
+            .join(self.sets.select(F.col("sid").alias("home"), F.col("s").alias("r")), "home")
+            .select("sid", "home", "n", F.array_except("r", "s").alias("minus"), F.array_except("s", "r").alias("plus"))
             .withColumns({"n_minus": F.size("minus").cast("long"), "n_plus": F.size("plus").cast("long")})
         )
         inter, union = F.col("n") - F.col("n_plus"), F.col("n") + F.col("n_minus")
+        tight = (100 * inter >= self.threshold * union).alias("tight")
         return stage_table(
-            both.filter(100 * inter >= HOME * union).select(
-                "sid",
-                "home",
-                "n",
-                "n_minus",
-                "n_plus",
-                F.concat("minus", "plus").alias("d"),
-                (100 * inter >= self.threshold * union).alias("tight"),
-            ),
-            "op2_homes",
+            both.select("sid", "home", "n", "n_minus", "n_plus", F.concat("minus", "plus").alias("d"), tight), "op2_homes"
         )
 
     def _home_links(self, homes: DataFrame) -> DataFrame:
@@ -365,24 +396,16 @@ class _Join:
             .applyInArrow(_within_homes(self.threshold), "u long, v long")
         )
 
-    def _list_pairs(self, postings: DataFrame, homes: DataFrame, roots: DataFrame) -> DataFrame:
-        own = postings.select("tok", "df", "sid", "n", (F.col("n") - F.col("pos")).alias("remaining"))
-        of = homes.select("sid", "home")
-        entries = (
-            own.join(of, "sid", "left")
-            .join(roots.withColumnRenamed("node", "sid"), "sid", "left")
-            .withColumn("home", F.coalesce("home", "sid"))
-            .withColumn("root", F.coalesce("root", "sid"))
-        )
+    def _list_pairs(self, postings: DataFrame, chosen: DataFrame) -> DataFrame:
+        """``u, v`` (u the greater): the pairs of different homes that are to be verified."""
+        entries = postings.select("tok", "df", "sid", "n", (F.col("n") - F.col("pos")).alias("remaining"))
+        entries = entries.join(chosen.select("sid", "home"), "sid", "left").withColumn("home", F.coalesce("home", "sid"))
         entries = stage_table(entries, "op2_entries")
-        split = entries.groupBy("tok").agg(
-            F.min("root").alias("a"), F.max("root").alias("b"), F.min("home").alias("c"), F.max("home").alias("d")
-        )
-        entries = entries.join(split.filter("a < b AND c < d").select("tok"), "tok", "left_semi")
-        entries = entries.withColumn("blocks", _blocks(F.col("df"))).withColumn(
-            "block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
-        )
-        dealt = entries.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        in_long = entries.filter(F.col("df") > LONG)
+        split = in_long.groupBy("tok").agg(F.min("home").alias("a"), F.max("home").alias("b")).filter("a < b")
+        blocked = in_long.join(split.select("tok"), "tok", "left_semi").withColumn("blocks", _blocks(F.col("df")))
+        blocked = blocked.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+        dealt = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
             "tok",
             F.least("block", "other").alias("low"),
             F.greatest("block", "other").alias("high"),
@@ -390,10 +413,32 @@ class _Join:
             "n",
             "remaining",
             "home",
-            "root",
             "block",
         )
-        return dealt.groupBy("tok", "low", "high").applyInArrow(_across(self.threshold), "u long, v long").distinct()
+        walked = dealt.groupBy("tok", "low", "high").applyInArrow(_across(self.threshold), "u long, v long")
+
+        t = self.threshold
+        short = entries.filter(F.col("df") <= LONG)
+        a, b = short.alias("a"), short.toDF(*short.columns).alias("b")
+        sizes = F.col("a.n") + F.col("b.n")
+        near = 100 * F.least("a.n", "b.n") >= t * F.greatest("a.n", "b.n")
+        met = a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.sid") > F.col("b.sid")) & near)
+        met = met.filter(F.col("a.home") != F.col("b.home"))
+        leaves = F.least("a.remaining", "b.remaining") * (100 + t) >= t * sizes
+        need = F.ceil(t * sizes / F.lit(100 + t)) + 1 - F.ceil(F.greatest("a.n", "b.n") * F.lit(t) / 100)
+        counted = met.groupBy(F.col("a.sid").alias("u"), F.col("b.sid").alias("v"), need.alias("need")).agg(
+            F.count("*").alias("shared"), F.max(leaves).alias("leaves")
+        )
+        # Shared shingles in long lists aren't counted here: as many as either set has in such lists may be shared.
+        longs = in_long.groupBy("sid").agg(F.count("*").alias("longs"))
+        counted = (
+            counted.filter("leaves")
+            .join(longs.withColumnsRenamed({"sid": "u", "longs": "lu"}), "u", "left")
+            .join(longs.withColumnsRenamed({"sid": "v", "longs": "lv"}), "v", "left")
+        )
+        more = F.least(F.coalesce("lu", F.lit(0)), F.coalesce("lv", F.lit(0)))
+        joined = counted.filter(F.col("shared") + more >= F.col("need")).select("u", "v")
+        return stage_table(walked.unionAll(joined).distinct(), "op2_pairs")
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         joined = pairs.join(self.sets.select(F.col("sid").alias("u"), F.col("s").alias("a")), "u").join(
@@ -405,14 +450,14 @@ class _Join:
 
     def run(self) -> DataFrame:
         postings = self._postings()
-        self._load_sets(postings)
-        homes = self._homes(postings)
+        chosen = self._chosen_homes(postings)
+        pairs = self._list_pairs(postings, chosen)
+        met = chosen.select("sid").unionAll(chosen.select("home")).unionAll(pairs.select("u")).unionAll(pairs.select("v"))
+        self._load_sets(met.distinct())
+        homes = self._homes(chosen)
         tight = homes.filter("tight").select(F.col("sid").alias("u"), F.col("home").alias("v"))
-        first = stage_table(tight.unionAll(self._home_links(homes)), "op2_links")
-        roots = connected(first, "op2_first")
-        pairs = self._list_pairs(postings, homes, roots)
-        found = stage_table(self._verified(pairs), "op2_found")
-        roots = connected(first.unionAll(found), "op2_all")
+        links = tight.unionAll(self._home_links(homes)).unionAll(self._verified(pairs))
+        roots = connected(stage_table(links, "op2_links"))
 
         nodes = self.rows.filter("n > 0").groupBy("sid").agg(F.min("_id").alias("_id"), F.count("*").alias("rows"))
         named = nodes.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn(

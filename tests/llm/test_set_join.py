@@ -85,7 +85,7 @@ def test_near_copies(spark, seed, width, threshold):
 
 def test_small_blocks_and_common_shingles(spark, monkeypatch):
     """Long lists, several blocks and a crowded map of common shingles change nothing."""
-    for name, value in (("BLOCK", 8), ("LONG", 4), ("SKIP", 4), ("COMMON", 3), ("COMMON_BITS", 2**10)):
+    for name, value in (("BLOCK", 8), ("LONG", 4), ("SKIP", 4), ("COMMON", 3), ("COMMON_BITS", 2**10), ("GROUP", 4)):
         monkeypatch.setattr(set_join, name, value)
     monkeypatch.setattr(set_join._blocks, "__defaults__", (8,))
     rows = near_copies(3, n_base=3, copies=30)
