@@ -57,7 +57,7 @@ COMMON = 32
 #: Bits, a power of two, of the map that marks common shingles, and the most for that of the documents whose sets are needed.
 COMMON_BITS, MOST_BITS = 2**24, 2**28
 #: Entries of a list, or members of a home, in one block.
-BLOCK = 2048
+BLOCK = 1024
 #: Entries of a list that are skipped together by position.
 SKIP = 64
 #: Lists longer than this are walked in blocks.
