@@ -38,8 +38,10 @@ from pyspark.sql import functions as F
 from rebuy.llm.common import stage_table
 
 BLOCK_DOCS = 32
-RUN = 50_000
+RUN = 5_000
 POOLED = "(others)"
+#: Columns that are added; an input column of such a name gives way.
+ADDED = ("mix_class", "mix_weight", "mix_block", "mix_slot", "mix_place")
 
 
 def _let(value: str, name: str, body: str) -> str:
@@ -141,7 +143,7 @@ def mixed(
     ``mix_slot`` and ``mix_place`` (in the block). The order of the mix is that
     of slot and place; slots have no gaps.
     """
-    columns = docs.columns if keep is None else keep
+    columns = [c for c in (docs.columns if keep is None else keep) if c not in ADDED]
     own = docs[source].cast("string")
     base = docs.select(
         F.struct(*(docs[c] for c in columns)).alias("_row"),
