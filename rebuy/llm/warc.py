@@ -335,7 +335,8 @@ def read_chunks(manifest: DataFrame, *, chunk_bytes: int = CHUNK_BYTES, with_dat
     ``is_last`` marks the row where they cover all of it. ``with_data=False``
     leaves the bytes out, for uses that need only the figures.
     """
-    paths = manifest.select("path").repartition("path")
+    # A number of partitions is given, or AQE would join such small rows to one task.
+    paths = manifest.select("path").repartition(max(1, manifest.count()))
     return paths.mapInArrow(_reader(chunk_bytes, with_data), _READ)
 
 
