@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rebuy.llm.common import key_join, table
+from rebuy.llm.common import key_join, packed, table, unpacked
 from rebuy.llm.kneser_ney import classify
 from rebuy.llm.line_spread import drop_spread_lines
 from rebuy.llm.pfair_mix import mixed
@@ -25,13 +25,9 @@ from rebuy.sources.stage import stage_root
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _with_key(docs: DataFrame) -> DataFrame:
-    return docs.withColumns({"_id": docs["doc_id"], "_h": F.xxhash64(docs["text"].cast("string"))})
-
-
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose key isn't among the rejected ones."""
-    return key_join(_with_key(docs), rejected.select("_id", "_h").distinct(), "left_anti").select(*docs.columns)
+    return unpacked(key_join(packed(docs), rejected.select("_id", "_h").distinct(), "left_anti"))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +37,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines go, and with them documents that had no other line; ``n_chars`` follows the text."""
-    cleaned = drop_spread_lines(docs).filter("NOT coalesce(_emptied, false)")
+    cleaned = drop_spread_lines(docs).filter("NOT _emptied")
     changed = F.col("_n_dropped") > 0
     n_chars = F.when(changed, F.length("text")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
@@ -61,12 +57,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     members = linked.join(of, "component")
     keeps = F.col("_id").eqNullSafe(F.col("first._id")) & (F.col("_h") == F.col("first._h"))
     gone = members.filter(~keeps).select("_id", "_h")
-    kept = key_join(_with_key(docs), gone.distinct(), "left_anti")
+    kept = key_join(packed(docs), gone.distinct(), "left_anti")
     # Repeated rows share the key that is kept, so they are told apart last.
     repeated = members.filter(keeps).groupBy("_id", "_h").agg(F.count("*").alias("_n")).filter("_n > 1")
     marked = key_join(kept, repeated, "left")
-    single = marked.filter("_n IS NULL").select(*docs.columns)
-    return single.unionAll(marked.filter("_n IS NOT NULL").dropDuplicates(["_id", "_h"]).select(*docs.columns))
+    single = marked.filter("_n IS NULL")
+    return unpacked(single.unionAll(marked.filter("_n IS NOT NULL").dropDuplicates(["_id", "_h"])))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
