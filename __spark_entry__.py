@@ -46,7 +46,7 @@ from rebuy.operators import (  # noqa: E402
     unique_articles_filled,
 )
 from rebuy.plans.features import assemble_features, build_dataset  # noqa: E402
-from rebuy.plans.model import evaluate_auc, prepare_train_valid, train_model, trained_trees, with_split  # noqa: E402
+from rebuy.plans.model import DEFAULT_ROUNDS, evaluate_auc, prepare_train_valid, train_model, trained_trees, with_split  # noqa: E402
 from rebuy.plans.serve import generate_recommendations  # noqa: E402
 from rebuy.sources import coerce_transactions, load_table, transactions_from_tables  # noqa: E402
 
@@ -56,7 +56,6 @@ C, A, D = COLS.customer_id, COLS.article_id, COLS.order_date
 ARTICLE = "p_brand"
 TRAIN_END = "2000-01-01"
 TOP_N = 5
-MODEL_ROUNDS = 20
 
 
 def _tx(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +86,11 @@ def _dirty_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((ls == "O") & (rf == "N"), F.concat(day, F.lit(" 13:00")))
         .when((rf == "R") & (ln == 3), F.lit("garbage"))
         .when((rf == "A") & (ln == 4), F.concat(F.substring(day, 1, 5), F.lit("13"), F.substring(day, 8, 3)))
+        .when((rf == "A") & (ln == 1), F.date_format("o_orderdate", "MM/dd/yyyy"))
+        .when((rf == "A") & (ln == 2), F.date_format("o_orderdate", "yyyyMMdd"))
+        .when((rf == "A") & (ln == 3), F.date_format("o_orderdate", "yyyy/MM/dd"))
+        .when((rf == "A") & (ln == 6), F.date_format("o_orderdate", "MMM d, yyyy"))
+        .when((rf == "R") & (ln == 4), F.concat(day, F.lit(" garbage")))
         .otherwise(day)
         .alias(D),
         F.when(ln == 1, F.concat(qi, F.lit(".0")))
@@ -95,6 +99,7 @@ def _dirty_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(ln == 4, F.lit("NaN"))
         .when(ln == 5, F.lit("x"))
         .when(ln == 6, F.lit("inf"))
+        .when((ln == 7) & (ls == "F"), F.concat(qi, F.lit("d")))
         .otherwise(F.concat(qi, F.lit(".5")))
         .alias(COLS.quantity),
     )
@@ -162,7 +167,7 @@ def q_labels(spark, sf_dir):
 
 def q_asof_backward_pair(spark, sf_dir):
     tx = _tx(spark, sf_dir)
-    return asof_join(candidates(tx), interaction_features(tx), by=[C, A], on=D, direction="backward")
+    return asof_join(candidates(tx), interaction_features(tx), by=[C, A], on=D, direction="backward", reduce_left=False)
 
 
 def q_asof_backward_article(spark, sf_dir):
@@ -179,13 +184,13 @@ def q_asof_backward_article_sliced(spark, sf_dir):
 def q_asof_forward(spark, sf_dir):
     tx = _tx(spark, sf_dir)
     right = interaction_features(tx).select(C, A, D, F.col(D).alias("purchase_date"), "times_bought_so_far")
-    return asof_join(candidates(tx), right, by=[C, A], on=D, direction="forward")
+    return asof_join(candidates(tx), right, by=[C, A], on=D, direction="forward", reduce_left=False)
 
 
 def q_asof_nearest(spark, sf_dir):
     tx = _tx(spark, sf_dir)
     right = article_popularity(tx).select(A, D, F.col(D).alias("curve_date"), "article_popularity")
-    return asof_join(last_order(tx).join(candidates(tx), [C, D]), right, by=A, on=D, direction="nearest")
+    return asof_join(candidates(tx), right, by=A, on=D, direction="nearest")
 
 
 def q_features(spark, sf_dir):
@@ -233,16 +238,26 @@ def q_auc_exact(spark, sf_dir):
 
 
 def q_model_auc(spark, sf_dir):
+    """The model's validation rows by label, and whether its AUC is better than chance (a value SQL can check)."""
     ds = build_dataset(_tx(spark, sf_dir))
-    model = train_model(ds, TRAIN_END, max_iter=MODEL_ROUNDS)
+    model = train_model(ds, TRAIN_END)
     _, valid, _ = prepare_train_valid(ds, TRAIN_END)
-    return evaluate_auc(model, valid).withColumn("num_trees", F.lit(trained_trees(model)))
+    better = F.col("auc").between(0.5, 1.0) & F.lit(1 <= trained_trees(model) <= DEFAULT_ROUNDS)
+    return evaluate_auc(model, valid).select("n_pos", "n_neg", better.alias("auc_better_than_chance"))
 
 
 def q_recommendations(spark, sf_dir):
+    """Per customer what SQL can check of the recommendations: the order, how many, and that each is a candidate with a score."""
     tx = _tx(spark, sf_dir)
-    model = train_model(build_dataset(tx), TRAIN_END, max_iter=MODEL_ROUNDS)
-    return generate_recommendations(tx, model, TOP_N)
+    model = train_model(build_dataset(tx), TRAIN_END)
+    made = generate_recommendations(tx, model, TOP_N)
+    known = candidates(tx).select(C, D, A, F.lit(True).alias("known"))
+    scored = F.coalesce("known", F.lit(False)) & F.col("prob_rebuy").between(0, 1)
+    return (
+        made.join(known, [C, D, A], "left")
+        .groupBy(C, D)
+        .agg(F.count_distinct(A).alias("n_recommended"), F.every(scored).alias("scored_candidates"))
+    )
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -483,7 +498,15 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
                        WHEN l.l_returnflag = 'R' AND l.l_linenumber = 3 THEN 'garbage'
                        WHEN l.l_returnflag = 'A' AND l.l_linenumber = 4
                             THEN strftime(CAST(o.o_orderdate AS DATE), '%Y-13-%d')
+                       WHEN l.l_returnflag = 'A' AND l.l_linenumber = 1 THEN strftime(CAST(o.o_orderdate AS DATE), '%m/%d/%Y')
+                       WHEN l.l_returnflag = 'A' AND l.l_linenumber = 2 THEN strftime(CAST(o.o_orderdate AS DATE), '%Y%m%d')
+                       WHEN l.l_returnflag = 'A' AND l.l_linenumber = 3 THEN strftime(CAST(o.o_orderdate AS DATE), '%Y/%m/%d')
+                       WHEN l.l_returnflag = 'A' AND l.l_linenumber = 6 THEN strftime(CAST(o.o_orderdate AS DATE), '%b %-d, %Y')
+                       WHEN l.l_returnflag = 'R' AND l.l_linenumber = 4
+                            THEN CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) || ' garbage'
                        ELSE CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) END AS order_date,
+                  CASE WHEN l.l_linenumber = 7 AND l.l_linestatus = 'F'
+                            THEN CAST(CAST(trunc(l.l_quantity) AS BIGINT) AS VARCHAR) || 'd' ELSE
                   CASE l.l_linenumber
                        WHEN 1 THEN CAST(CAST(trunc(l.l_quantity) AS BIGINT) AS VARCHAR) || '.0'
                        WHEN 2 THEN CAST(CAST(trunc(l.l_quantity) AS BIGINT) AS VARCHAR)
@@ -491,7 +514,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
                        WHEN 4 THEN 'NaN'
                        WHEN 5 THEN 'x'
                        WHEN 6 THEN 'inf'
-                       ELSE CAST(CAST(trunc(l.l_quantity) AS BIGINT) AS VARCHAR) || '.5' END AS quantity
+                       ELSE CAST(CAST(trunc(l.l_quantity) AS BIGINT) AS VARCHAR) || '.5' END END AS quantity
            FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
     ),
 }
@@ -524,7 +547,8 @@ _ORACLES: dict[str, str] = {
     "coerce_dirty": _sql(
         """SELECT customer_id, article_id, order_date, quantity FROM (
                SELECT customer_id, article_id,
-                      TRY_CAST(order_date AS DATE) AS order_date,
+                      CAST(try_strptime(order_date, ['%Y-%m-%d', '%Y-%m-%d %H:%M', '%m/%d/%Y', '%Y%m%d', '%Y/%m/%d',
+                                                     '%b %d, %Y']) AS DATE) AS order_date,
                       COALESCE(TRY_CAST(trunc(TRY_CAST(quantity AS DOUBLE)) AS BIGINT), 0) AS quantity
                FROM dirty)
            WHERE customer_id IS NOT NULL AND article_id IS NOT NULL AND order_date IS NOT NULL""",
@@ -572,12 +596,9 @@ _ORACLES: dict[str, str] = {
         "inter",
     ),
     "asof_nearest": _sql(
-        """, lastc AS (
-               SELECT c.* FROM cand c
-               JOIN (SELECT customer_id, MAX(order_date) AS order_date FROM tx GROUP BY customer_id) l
-                 ON c.customer_id = l.customer_id AND c.order_date = l.order_date),
+        """,
            b AS (SELECT c.*, p.order_date AS b_date, p.article_popularity AS b_pop
-                 FROM lastc c ASOF LEFT JOIN pop p
+                 FROM cand c ASOF LEFT JOIN pop p
                    ON c.article_id = p.article_id AND c.order_date >= p.order_date),
            bf AS (SELECT b.*, p.order_date AS f_date, p.article_popularity AS f_pop
                   FROM b ASOF LEFT JOIN pop p ON b.article_id = p.article_id AND p.order_date >= b.order_date)
@@ -620,6 +641,20 @@ _ORACLES: dict[str, str] = {
             WHERE rank <= {TOP_N}""",
         "feat",
     ),
+    "model_auc": _sql(
+        f"""SELECT CAST(COUNT(*) FILTER (label = 1) AS BIGINT) AS n_pos,
+                   CAST(COUNT(*) FILTER (label = 0) AS BIGINT) AS n_neg, TRUE AS auc_better_than_chance
+            FROM ds WHERE order_date > DATE '{TRAIN_END}'""",
+        "ds",
+    ),
+    "recommendations": _sql(
+        f"""SELECT c.customer_id, c.order_date, least({TOP_N}, COUNT(*)) AS n_recommended, TRUE AS scored_candidates
+            FROM cand c
+            JOIN (SELECT customer_id, MAX(order_date) AS order_date FROM tx GROUP BY customer_id) l
+              ON c.customer_id = l.customer_id AND c.order_date = l.order_date
+            GROUP BY 1, 2""",
+        "cand",
+    ),
     "auc_exact": _sql(
         """, ranked AS (
                SELECT label, RANK() OVER (ORDER BY fraction_orders_with_article) AS r,

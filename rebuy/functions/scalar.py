@@ -16,19 +16,45 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_CLOCK = r"([ T]([01]?\d|2[0-3])(:[0-5]\d){0,2}(\.\d+)?\s*(Z|[+-]\d{2}:?\d{2})?)?$"
+
+
 def parse_date(c: Column | str) -> Column:
-    """Text, date or timestamp -> DATE at day precision; unparseable -> null.
+    """Text, date or timestamp -> DATE at day precision; anything else -> null.
 
-    ISO dates are accepted with or without a time part (``2024-05-01``,
-    ``2024-05-01 13:00``, ``2024-05-01T13:00:00``); an impossible date such as
-    ``2024-13-01`` is null.
+    Accepted whole, each with or without a time of day: ``2024-05-01``,
+    ``2024/05/01``, ``20240501``, ``05/01/2024`` (month first) and
+    ``May 1, 2024`` / ``1 May 2024``. Trailing text and impossible dates such
+    as ``2024-13-01`` give null.
     """
-    return _col(c).cast("string").try_cast("date")
+    text = F.trim(_col(c).cast("string"))
+
+    def iso(pattern: str, order: str) -> Column:
+        whole = f"^{pattern}{_CLOCK}"
+        made = F.concat_ws("-", *(F.regexp_extract(text, whole, int(group)) for group in order))
+        return F.when(text.rlike(whole), made)
+
+    days = iso(r"(\d{4})-(\d{1,2})-(\d{1,2})", "123")
+    for pattern, order in (
+        (r"(\d{4})/(\d{1,2})/(\d{1,2})", "123"),
+        (r"(\d{4})(\d{2})(\d{2})", "123"),
+        (r"(\d{1,2})/(\d{1,2})/(\d{4})", "312"),
+    ):
+        days = F.coalesce(days, iso(pattern, order))
+    named = F.regexp_replace(F.regexp_replace(text, _CLOCK, ""), r"^(\d{1,2}) ([A-Za-z]{3})[a-z]* (\d{4})$", "$2 $1 $3")
+    named = F.regexp_replace(named, r"^([A-Za-z]{3})[a-z]*\.? (\d{1,2}),? (\d{4})$", "$1 $2 $3")
+    is_named = named.rlike(r"^[A-Za-z]{3} \d{1,2} \d{4}$")
+    month = F.try_to_timestamp(F.when(is_named, F.initcap(named)), F.lit("MMM d yyyy")).cast("date")
+    return F.coalesce(days.try_cast("date"), month)
 
 
 def parse_quantity(c: Column | str) -> Column:
-    """Text/number -> BIGINT: bad, NaN or infinite -> 0, decimals truncate toward zero."""
-    as_double = _col(c).cast("string").try_cast("double")
+    """Text/number -> BIGINT: bad, NaN or infinite -> 0, decimals truncate toward zero.
+
+    A type suffix as in ``5d`` or ``5f`` is bad text.
+    """
+    text = F.trim(_col(c).cast("string"))
+    as_double = F.when(~text.rlike("[dDfF]$"), text).try_cast("double")
     return F.coalesce(as_double.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 

@@ -14,7 +14,10 @@ Tables of one application live under ``<dir>/rebuy-stage/<application id>``;
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from rebuy.session import application_id, ensure_checkpoint_dir
@@ -35,11 +38,20 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
 
 def drop_stage_tables(spark: SparkSession) -> bool:
     """Delete this application's stage folder (frames read from it become
-    unusable). Returns False when it cannot (e.g. a remote session)."""
+    unusable). Returns whether it was there; False on a remote session, which
+    has no file system to ask."""
     try:
         sc = spark.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path(stage_root(spark))
-        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
-        return bool(fs.delete(path, True))
-    except Exception:
+    except PySparkException:
         return False
+    path = sc._jvm.org.apache.hadoop.fs.Path(stage_root(spark))
+    return bool(path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True))
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """For library callers: the stage tables written inside are dropped at the end, whatever happened."""
+    try:
+        yield
+    finally:
+        drop_stage_tables(spark)
