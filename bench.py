@@ -28,7 +28,7 @@ from rebuy.operators import (  # noqa: E402
     top_n_by_group,
 )
 from rebuy.plans.features import assemble_features, build_dataset  # noqa: E402
-from rebuy.plans.model import train_model  # noqa: E402
+from rebuy.plans.model import DEFAULT_ROUNDS, train_model  # noqa: E402
 from rebuy.plans.serve import generate_recommendations  # noqa: E402
 from rebuy.session import local_session  # noqa: E402
 from rebuy.sources import drop_stage_tables, transactions_from_tables  # noqa: E402
@@ -36,7 +36,8 @@ from rebuy.sources import drop_stage_tables, transactions_from_tables  # noqa: E
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 REPEAT = int(os.environ.get("BENCH_REPEAT", "1"))
-MODEL_ROUNDS = int(os.environ.get("BENCH_MODEL_ROUNDS", "10"))
+#: The reference's rounds, with its patience; a smaller number is for quick local runs.
+MODEL_ROUNDS = int(os.environ.get("BENCH_MODEL_ROUNDS", str(DEFAULT_ROUNDS)))
 
 
 def _sf(path: str) -> float | str:
@@ -55,7 +56,8 @@ def main() -> None:
 
     def asof_pair():
         tx = part()
-        return asof_join(candidates(tx), interaction_features(tx), by=["customer_id", "article_id"], on="order_date")
+        return asof_join(candidates(tx), interaction_features(tx), by=["customer_id", "article_id"], on="order_date",
+                         reduce_left=False)
 
     def auc():
         return roc_auc(build_dataset(brand()), "label", "fraction_orders_with_article")
@@ -76,6 +78,21 @@ def main() -> None:
         )
         return build_dataset(tx)
 
+    def without_broadcast(build):
+        """The plan of a cluster on which no side is small; the run reads the setting while it is planned."""
+
+        def run():
+            names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+            for name in names:
+                spark.conf.set(name, "-1")
+            try:
+                build().write.format("noop").mode("overwrite").save()
+            finally:
+                for name in names:
+                    spark.conf.unset(name)
+
+        return run
+
     # the BASELINE probe metrics: the as-of alone on cached inputs (count + sum +
     # null count), article = brand; inputs are built and cached untimed below
     probe_inputs: dict = {}
@@ -93,7 +110,7 @@ def main() -> None:
     def probe(by, right, col):
         def run():
             inputs = probe_cache()
-            out = asof_join(inputs["left"], inputs[right], by=by, on="order_date")
+            out = asof_join(inputs["left"], inputs[right], by=by, on="order_date", reduce_left=by == "article_id")
             return out.agg(F.count(F.lit(1)), F.sum(col), F.count_if(F.col(col).isNull()))
 
         return run
@@ -110,6 +127,7 @@ def main() -> None:
         "asof_generic_pair": asof_pair,
         "auc_exact": auc,
         "dataset_hot_customer": hot_customer,
+        "dataset_hot_customer_no_broadcast": without_broadcast(hot_customer),
         "train_and_recommend": recommend,
         "asof_probe_pair": probe(["customer_id", "article_id"], "pair", "times_bought_so_far"),
         "asof_probe_article": probe("article_id", "article", "article_popularity"),
@@ -141,7 +159,9 @@ def main() -> None:
         try:
             for _ in range(REPEAT):
                 t0 = time.perf_counter()
-                build().write.format("noop").mode("overwrite").save()
+                built = build()
+                if built is not None:
+                    built.write.format("noop").mode("overwrite").save()
                 best = min(best, time.perf_counter() - t0)
         except Exception as err:  # one failing query must not hide the others' numbers
             print(f"# {name}: FAILED {type(err).__name__}: {str(err)[:300]}", file=sys.stderr, flush=True)

@@ -123,3 +123,37 @@ def test_supplied_left_keys_give_the_same_result(spark):
     plain = sorted(map(tuple, asof_join(left, right, "g", "t").collect()))
     keyed = sorted(map(tuple, asof_join(left, right, "g", "t", left_keys=extra).collect()))
     assert plain == keyed == [("a", 5, 1, 10), ("a", 9, 2, 20), ("b", 3, 3, 30)]
+
+
+@pytest.mark.parametrize("direction", ["backward", "forward", "nearest"])
+@pytest.mark.parametrize("bucket", [None, 7])
+@pytest.mark.parametrize("reduce_left", [True, False])
+def test_null_keys_take_no_part(spark, direction, bucket, reduce_left):
+    left, right = _frames(11)
+    expected = _pandas(left, right, ["g", "h"], direction, True)
+    odd_l = [("a", 1, None, 900), (None, 1, 5, 901), ("a", None, 5, 902)]
+    odd_r = [("a", 1, None, 99, 9.0), (None, 1, 5, 98, 9.0), ("a", None, 5, 97, 9.0)]
+    out = asof_join(
+        spark.createDataFrame(left + odd_l, SCHEMA_L),
+        spark.createDataFrame(right + odd_r, SCHEMA_R),
+        by=["g", "h"],
+        on="t",
+        direction=direction,
+        bucket=bucket,
+        reduce_left=reduce_left,
+    )
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == expected
+
+
+def test_a_null_on_of_the_right_side_never_matches(spark):
+    left = spark.createDataFrame([("a", 5)], "g string, t long")
+    right = spark.createDataFrame([("a", None, 99)], "g string, t long, v long")
+    for direction in ("backward", "forward", "nearest"):
+        assert asof_join(left, right, by="g", on="t", direction=direction).first().v is None
+
+
+def test_repeated_left_rows_without_reduction(spark):
+    left = spark.createDataFrame([("a", 5, 1), ("a", 5, 1), ("a", 7, 2)], "g string, t long, x long")
+    right = spark.createDataFrame([("a", 4, 40), ("a", 6, 60)], "g string, t long, v long")
+    got = asof_join(left, right, by="g", on="t", reduce_left=False)
+    assert sorted(map(tuple, got.collect())) == [("a", 5, 1, 40), ("a", 5, 1, 40), ("a", 7, 2, 60)]

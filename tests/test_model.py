@@ -1,6 +1,5 @@
 """Model layer: AUC, planted signal, save/load, top-N, sinks, jobs."""
 
-
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -150,3 +149,43 @@ def test_build_dataset_job_from_typed_parquet(spark, tx, tmp_path):
     want = build_dataset(tx)
     assert got.count() == want.count() == rep["rows"]
     assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_stop_round_waits_for_patience():
+    from rebuy.plans.model import stop_round
+
+    assert stop_round([3.0, 2.0, 2.5, 2.4], patience=2) == 4
+    assert stop_round([3.0, 2.0, 1.0], patience=30) == 33
+    assert stop_round([1.0, 1.0, 1.0], patience=1) == 2
+
+
+def test_early_stopping_keeps_the_prefix_up_to_the_stop(spark, tx, monkeypatch):
+    from rebuy.plans import model as m
+
+    monkeypatch.setattr(m, "FIRST_ROUNDS", 4)
+    ds = build_dataset(tx)
+    stopped = m.train_model(ds, TRAIN_END, max_iter=12, patience=2)
+    whole = m.train_model(ds, TRAIN_END, max_iter=12, patience=1000)
+    assert m.trained_trees(whole) == 12
+    n = m.trained_trees(stopped)
+    assert 3 <= n <= 12
+    trees = lambda x: [t.toDebugString.split(chr(10), 1)[1] for t in x.stages[-1].trees]
+    assert trees(stopped) == trees(whole)[:n]
+
+
+def test_train_and_score_with_a_subset_of_the_features(spark, tx, tmp_path):
+    from rebuy.plans import jobs
+
+    src, ds, model, feats, out = (str(tmp_path / n) for n in ("tx", "ds", "model", "feats", "recs"))
+    tx.write.parquet(src)
+    jobs.run_build_dataset(spark, src, ds, fmt="parquet")
+    chosen = ["times_bought_so_far", "avg_gap_days"]
+    jobs.run_train(spark, ds, TRAIN_END, model, feats, max_iter=2, features=chosen)
+    from rebuy.sources import read_feature_list, write_feature_list
+
+    assert read_feature_list(spark, feats) == chosen
+    report = jobs.run_predict(spark, src, model, out, top_n=1, fmt="parquet", features_path=feats)
+    assert report["rows"] > 0 and report["load"]["dropped_bad_date"] == 0
+    write_feature_list(spark, ["unheard_of"], feats)
+    with pytest.raises(ValueError, match="unheard_of"):
+        jobs.run_predict(spark, src, model, out, fmt="parquet", features_path=feats)

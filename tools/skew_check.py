@@ -87,12 +87,15 @@ def main() -> None:
     spark.stop()
 
     per_stage: dict[int, list[int]] = {}
+    written: dict[int, list[int]] = {}
     names: dict[int, str] = {}
     for e in _events(log_dir):
         if e["Event"] == "SparkListenerTaskEnd" and e.get("Task Metrics"):
             m = e["Task Metrics"]
             recs = m.get("Shuffle Read Metrics", {}).get("Total Records Read", 0)
             per_stage.setdefault(e["Stage ID"], []).append(recs)
+            out = m.get("Shuffle Write Metrics", {}).get("Shuffle Bytes Written", 0)
+            written.setdefault(e["Stage ID"], []).append(out)
         if e["Event"] == "SparkListenerStageCompleted":
             names[e["Stage Info"]["Stage ID"]] = e["Stage Info"]["Stage Name"][:40]
     worst = 0.0
@@ -107,7 +110,9 @@ def main() -> None:
     for sid, n, tot, share in rows:
         print(f"stage {sid:4d} tasks={n:3d} records={tot:9d} max_task_share={share:.3f}")
     print(json.dumps({"lines": total, "hot_share": round(hot_rows / total, 3), "dataset_sec": round(wall, 2),
-                      "worst_task_share": round(worst, 3)}))
+                      "worst_task_share": round(worst, 3),
+                      "largest_shuffle_mb": round(max(map(sum, written.values())) / 1e6, 2),
+                      "largest_task_write_mb": round(max(map(max, written.values())) / 1e6, 2)}))
 
 
 if __name__ == "__main__":
