@@ -4,10 +4,10 @@ AUC = sum over distinct scores s of pos(s) * (neg_below(s) + neg(s) / 2) / (P *
 which gives tied scores half credit (the rank-average rule).
 
 ``neg_below`` is a prefix sum in score order. Instead of a single-partition
-window over all distinct scores, the scores are range-partitioned: each
-partition takes a prefix sum over its own slice, and one small table of
-per-partition totals (one row per partition, so its size is bounded by the
-partition count) supplies the offset of everything in earlier partitions.
+window over all distinct scores, the scores are range-partitioned into slices
+of about ``SLICE`` distinct scores, as many as the data need: each partition
+takes a prefix sum over its own slice, and one small table of per-partition
+totals (one row per slice) supplies the offset of everything in earlier ones.
 
 The range-partitioned table, with its partition id as a column, is written
 once as a stage table: both readers (the totals and the local prefix sums)
@@ -17,11 +17,14 @@ could sample different bounds.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from rebuy.sources.stage import stage_table
 
+#: Distinct scores of a slice: what one task sorts.
+SLICE = 200_000
+
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score", partitions: int | None = None) -> DataFrame:
     """One row: ``auc`` DOUBLE (null when a class is missing), ``n_pos``, ``n_neg``."""
@@ -29,8 +32,9 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", partition
     per_score = df.where(F.col(score).isNotNull()).groupBy(score).agg(
         F.count_if(pos).alias("pos"), F.count_if(~pos).alias("neg")
     )
-    spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    distinct = Observation("auc_scores")
+    per_score = stage_table(per_score.observe(distinct, F.count(F.lit(1)).alias("n")), "auc_distinct")
+    n_parts = partitions or max(1, -(-distinct.get["n"] // SLICE))
     ranged = stage_table(
         per_score.repartitionByRange(n_parts, score).withColumn("_pid", F.spark_partition_id()), "auc_scores"
     )
