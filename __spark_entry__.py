@@ -45,7 +45,7 @@ from rebuy.operators import (  # noqa: E402
     unique_articles_curve,
     unique_articles_filled,
 )
-from rebuy.plans.features import assemble_features, build_dataset  # noqa: E402
+from rebuy.plans.features import assemble_features, build_dataset, stage_features  # noqa: E402
 from rebuy.plans.model import DEFAULT_ROUNDS, evaluate_auc, prepare_train_valid, train_model, trained_trees, with_split  # noqa: E402
 from rebuy.plans.serve import generate_recommendations  # noqa: E402
 from rebuy.sources import coerce_transactions, load_table, transactions_from_tables  # noqa: E402
@@ -249,8 +249,9 @@ def q_model_auc(spark, sf_dir):
 def q_recommendations(spark, sf_dir):
     """Per customer what SQL can check of the recommendations: the order, how many, and that each is a candidate with a score."""
     tx = _tx(spark, sf_dir)
-    model = train_model(build_dataset(tx), TRAIN_END)
-    made = generate_recommendations(tx, model, TOP_N)
+    stages = stage_features(tx)
+    model = train_model(build_dataset(None, stages=stages), TRAIN_END)
+    made = generate_recommendations(None, model, TOP_N, stages=stages)
     known = candidates(tx).select(C, D, A, F.lit(True).alias("known"))
     scored = F.coalesce("known", F.lit(False)) & F.col("prob_rebuy").between(0, 1)
     return (

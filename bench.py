@@ -27,7 +27,7 @@ from rebuy.operators import (  # noqa: E402
     roc_auc,
     top_n_by_group,
 )
-from rebuy.plans.features import assemble_features, build_dataset  # noqa: E402
+from rebuy.plans.features import assemble_features, build_dataset, stage_features  # noqa: E402
 from rebuy.plans.model import DEFAULT_ROUNDS, train_model  # noqa: E402
 from rebuy.plans.serve import generate_recommendations  # noqa: E402
 from rebuy.session import local_session  # noqa: E402
@@ -117,8 +117,9 @@ def main() -> None:
 
     def recommend():
         tx = brand()
-        model = train_model(build_dataset(tx), "2000-01-01", max_iter=MODEL_ROUNDS)
-        return generate_recommendations(tx, model, 5)
+        stages = stage_features(tx)
+        model = train_model(build_dataset(None, stages=stages), "2000-01-01", max_iter=MODEL_ROUNDS)
+        return generate_recommendations(None, model, 5, stages=stages)
 
     queries = {
         "dataset_brand": lambda: build_dataset(brand()),

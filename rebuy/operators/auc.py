@@ -34,7 +34,7 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", partition
     )
     distinct = Observation("auc_scores")
     per_score = stage_table(per_score.observe(distinct, F.count(F.lit(1)).alias("n")), "auc_distinct")
-    n_parts = partitions or max(1, -(-distinct.get["n"] // SLICE))
+    n_parts = partitions or max(2, -(-distinct.get["n"] // SLICE))
     ranged = stage_table(
         per_score.repartitionByRange(n_parts, score).withColumn("_pid", F.spark_partition_id()), "auc_scores"
     )
