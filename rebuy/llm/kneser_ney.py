@@ -52,7 +52,7 @@ from rebuy.llm.common import KEY, pieces, stage_table
 ORDER = 4
 ALPHABET = 126
 MIN_TRUSTED = 50
-SHARD_ROWS = 2_000_000
+SHARD_ROWS = 1_000_000
 MIDDLE, UPPER, MARGIN = 0.5, 0.99, 1.0
 #: The class of rare and null languages.
 POOLED = "*"
