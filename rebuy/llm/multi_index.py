@@ -54,7 +54,7 @@ def usable(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str = "embe
     """``id, e``: one row per id, with the vectors that take part."""
     rows = vectors.select(vectors[vec_id].cast("long").alias("id"), vectors[embedding].cast("array<float>").alias("e"))
     whole = (
-        "id IS NOT NULL AND size(e) > 1 AND exists(e, x -> x <> 0) "
+        "id IS NOT NULL AND size(e) > 0 AND exists(e, x -> x <> 0) "
         "AND forall(e, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < float('infinity'))"
     )
     return rows.filter(F.expr(whole)).groupBy("id").agg(F.min("e").alias("e"))

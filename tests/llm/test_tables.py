@@ -225,3 +225,12 @@ def test_pipeline_run(spark):
     got = corpus_pipeline.run(spark, SMALL)
     assert got.count() > 100
     assert got.select("mix_slot", "mix_place").distinct().count() == got.count()
+
+
+def test_vectors_of_one_number(spark):
+    df = spark.createDataFrame([(i, [float(i + 1)]) for i in range(4)], "vec_id long, embedding array<float>")
+    assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in nearest(df).orderBy("rank").collect()] == [
+        (0, 1, 1, 1.0),
+        (0, 2, 2, 2.0),
+        (0, 3, 3, 3.0),
+    ]
