@@ -13,7 +13,7 @@ group of near copies, but it may lose none between groups.
    those that ``COMMON`` documents or more have in the first 15 % of their
    hash order. Passages that many documents share so leave the lists.
 3. *Answers from a similar set.* Nodes of a large group of similar sets take
-   as their home the pivot with which they share most lists, and keep only
+   as their home a pivot with which they share many lists, and keep only
    their difference from it. For x
    and y of a home r, the intersection follows from r's:
    ``|x & y| = |r| - |r-x| - |r-y| + |dx & dy|``, where ``dx`` is all by which
@@ -343,20 +343,24 @@ class _Join:
         return n - F.ceil(n * F.lit(self.threshold) / 100) + 1
 
     def _chosen_homes(self, postings: DataFrame) -> DataFrame:
-        """``home, sid, n``: the pivot that shares most lists, if those are a quarter of the prefix, and ``GROUP`` nodes choose it."""
-        best = Window.partitionBy("sid").orderBy(F.desc("shared"), "pivot")
-        chosen = stage_table(
-            postings.filter("pivot <> sid")
-            .groupBy("sid", "n", "pivot")
-            .agg(F.count("*").alias("shared"))
-            .filter(4 * F.col("shared") >= self._prefix(F.col("n")))
-            .withColumn("place", F.row_number().over(best))
-            .filter("place = 1")
-            .select("sid", "n", F.col("pivot").alias("home")),
-            "op2_chosen",
+        """``home, sid, n``: for the nodes that share a list with a pivot which ``GROUP`` nodes have as the nearest.
+
+        A node is close to a pivot if a quarter of its prefix is in lists of the pivot.
+        """
+        near = postings.filter("pivot <> sid").groupBy("sid", "n", F.col("pivot").alias("home")).agg(
+            F.count("*").alias("shared")
+        )
+        near = stage_table(near.withColumn("close", 4 * F.col("shared") >= self._prefix(F.col("n"))), "op2_near")
+        best = Window.partitionBy("sid").orderBy(F.desc("shared"), "home")
+        first = near.filter("close").withColumn("place", F.row_number().over(best)).filter("place = 1")
+        large = first.groupBy("home").agg(F.count("*").alias("members")).filter(F.col("members") >= GROUP)
+        # Of the large groups that a node is close to, the largest: a group so hardly splits. A node that is close to
+        # none is compared as a member of the one that it shares most lists with, not pair by pair through these lists.
+        most = Window.partitionBy("sid").orderBy(
+            F.desc("close"), F.when(F.col("close"), F.col("members")).desc_nulls_last(), F.desc("shared"), "home"
         )
-        large = chosen.groupBy("home").agg(F.count("*").alias("members")).filter(F.col("members") >= GROUP)
-        return stage_table(chosen.join(large, "home", "left_semi"), "op2_large")
+        chosen = near.join(large, "home").withColumn("place", F.row_number().over(most)).filter("place = 1")
+        return stage_table(chosen.select("home", "sid", "n"), "op2_chosen")
 
     def _homes(self, chosen: DataFrame) -> DataFrame:
         """``sid, home, n, n_minus, n_plus, d, tight``: the difference of each node from its pivot."""
