@@ -1,22 +1,34 @@
-"""Quality classifier: an interpolated modified Kneser-Ney model of characters.
+"""Quality classifier: an interpolated modified Kneser-Ney model of words.
 
-Per language, a model of order 4 is trained on trusted text, every document is
-given its perplexity under the model of its language, and documents above a
-quantile-based threshold of that language are rejected. Words of open
-vocabularies are too rare to be counted; junk shows in its characters.
+Per language, a model of ``WORDS`` words is trained on trusted text, every
+document is given its perplexity under the model of its language, and documents
+above a quantile of that language's trusted documents are rejected. A symbol is
+a run of letters and digits, or any other visible character by itself, as is
+each character of a script that writes without blanks. There is no list of
+known symbols: a gram is a 64-bit hash of its class, order and symbols, and the
+table grows with the trusted text. (``perplexities`` does the same for single
+characters when ``words`` isn't set.)
 
 *Counting.* Tasks count the n-grams of their trusted documents and Spark sums
-the counts; all trusted rows take part, so what is gathered grows with the
-corpus. *Smoothing.* Lower orders count the distinct characters before a gram
-(continuation counts); the three discounts of each order and language come
-from its counts of counts. Counts meet the totals of their contexts in joins
-that are partitioned by language and context. *Scoring.* The table of
-discounted probabilities and back-off weights is cut into shards of about
-``SHARD_ROWS`` rows by language and last context character, so all orders that
-one character needs are in one shard. Each shard is broadcast, documents are
-joined with it map-side, and the log-probabilities of a document's shards are
-summed. There is one shard as long as the table is small, and more passes as
-it grows; the broadcast never does.
+the counts; all trusted rows take part. *Smoothing.* Lower orders count the
+distinct symbols before a gram (continuation counts); the three discounts of
+each order and class come from its counts of counts. Counts meet the totals of
+their contexts, and the probabilities of their endings, in joins on the gram.
+
+*Scoring.* The log-probability of a text is a sum of one number per gram. With
+P the interpolated probability of a seen gram and w the weight that its context
+leaves to the next lower order, every symbol adds ``log P1``, every order above
+adds ``log w`` where the context is known, and ``log P - log w - log P_lower``
+where the gram is. So the model is a table of (gram, value as a gram, weight as
+a context), documents are tables of (gram, document, counts), and one join and
+one sum by document give the scores. No part of the model or the documents
+passes through the driver. A frequent gram is a row per document at most, in a
+join that Spark splits by size.
+
+*Held out.* A document mustn't be judged by a model that has read it: nearly
+all its grams would be known. So each language has ``FOLDS`` models; a trusted
+text is learnt by the models of the other folds and scored by its own, and the
+fold is that of the text's hash, so that copies share it.
 
 *Threshold.* With m and u the quantiles ``MIDDLE`` and ``UPPER`` of the
 log-perplexities of a language's trusted documents in a band of lengths (by
@@ -24,22 +36,20 @@ powers of two, since short texts vary more), a document is rejected above
 ``u + MARGIN * (u - m)``. The sketch of Spark's approximate quantiles is used,
 over all trusted documents.
 
-The characters of a model are the ``ALPHABET`` most frequent of all texts of
-the language; all others are one unknown character. A language with under
-``MIN_TRUSTED`` trusted documents shares one model with all such languages.
+A language with under ``MIN_TRUSTED`` trusted documents shares its models with
+all such languages.
 
-Defined cases: null and empty texts have no perplexity and are kept, as are
-all documents of a language class without trusted text. A null language is a
-class member like a rare one. A doc_id that the labels hold more than once is
-trusted if all its labels say so. Repeated rows each get the result and count
-as often as they occur. An empty table gives no rows. Other columns are
-ignored.
+Defined cases: null, empty and blank texts have no perplexity and are kept, as
+are all documents of a language class and fold without trusted text. A null
+language is a class member like a rare one. A doc_id that the labels hold more
+than once is trusted if all its labels say so. Repeated rows each get the
+result and count as often as they occur. An empty table gives no rows. Other
+columns are ignored.
 """
 
 from __future__ import annotations
 
-import math
-import uuid
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,101 +59,138 @@ from pyspark.sql import functions as F
 
 from rebuy.llm.common import KEY, pieces, stage_table
 
-ORDER = 4
-ALPHABET = 126
+#: Symbols of a gram, for characters and for words.
+ORDER, WORDS = 4, 3
+FOLDS = 2
 MIN_TRUSTED = 50
-SHARD_ROWS = 1_000_000
 MIDDLE, UPPER, MARGIN = 0.5, 0.99, 1.0
 #: The class of rare and null languages.
 POOLED = "*"
-#: Characters of a text that are handled at once.
+#: Symbols of a text that are handled at once.
 PIECE = 1 << 20
+#: Gram rows that a task holds before it sends them on.
+SHARD_ROWS = 1_000_000
+
+_START = np.uint64(0x9E3779B97F4A7C15)
+_FACTOR = np.uint64(0xD6E8FEB86659FD93)
+_SHIFT = np.uint64(32)
+_LONE = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]|[^\p{L}\p{M}\p{N}\p{Z}\s]"
+
+
+def _word_hashes(body: Column) -> Column:
+    """The symbols of a text, hashed."""
+    parted = F.split(F.regexp_replace(body, _LONE, " $0 "), r"[\s\p{Z}]+")
+    return F.transform(F.filter(parted, lambda w: w != ""), lambda w: F.xxhash64(w))
+
+
+def _code_points(text: str | None) -> np.ndarray:
+    return np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
 
-_UNKNOWN, _START, _FIRST = 0, 1, 2
-
-
-def _pieces(text: bytes | None) -> Iterator[np.ndarray]:
-    """The code points of a text."""
-    whole = (text or b"").decode("utf-8", "replace")
-    for at in range(0, len(whole), PIECE):
-        yield np.frombuffer(whole[at : at + PIECE].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-
-
-def _symbols(points: np.ndarray, alphabet: np.ndarray) -> np.ndarray:
-    """Code points as places in the alphabet (sorted), from _FIRST on."""
-    if not len(alphabet):
-        return np.full(len(points), _UNKNOWN, dtype=np.int64)
-    if alphabet[-1] < 1 << 16:
-        small = np.zeros((1 << 16) + 1, dtype=np.int64)
-        small[alphabet] = np.arange(len(alphabet)) + _FIRST
-        return small[np.minimum(points, 1 << 16)]
-    at = np.minimum(np.searchsorted(alphabet, points), len(alphabet) - 1)
-    return np.where(alphabet[at] == points, at + _FIRST, _UNKNOWN)
-
-
-def _runs(text: bytes | None, alphabet: np.ndarray) -> Iterator[np.ndarray]:
-    """Symbols in pieces, each led by the ORDER - 1 symbols before it."""
-    lead = np.full(ORDER - 1, _START, dtype=np.int64)
-    for points in _pieces(text):
-        run = np.concatenate([lead, _symbols(points, alphabet)])
-        lead = run[-(ORDER - 1) :]
-        yield run
-
-
-def _count_characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found: dict[str, dict[int, int]] = {}
-    for batch in pieces(batches):
-        for name, text in zip(batch.column("_class").to_pylist(), batch.column("_text").cast(pa.binary()).to_pylist(), strict=True):
-            own = found.setdefault(name, {})
-            for points in _pieces(text):
-                counts = np.bincount(points)
-                for point in np.flatnonzero(counts).tolist():
-                    own[point] = own.get(point, 0) + int(counts[point])
-    rows = [(name, point, n) for name, own in found.items() for point, n in own.items()]
-    columns = list(zip(*rows, strict=True)) or [[], [], []]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64()), strict=True)], ["cls", "point", "n"]
-    )
 
+def _symbols(batch: pa.RecordBatch, words: bool) -> Iterator[np.ndarray]:
+    """The symbols of each text as 64-bit numbers."""
+    column = batch.column("_text")
+    if not words:
+        yield from (_code_points(text) for text in column.to_pylist())
+        return
+    flat = column.values.to_numpy(zero_copy_only=False).view(np.uint64)
+    ends = column.offsets.to_numpy()
+    for i in range(batch.num_rows):
+        yield flat[ends[i] : ends[i + 1]] if column[i].is_valid else flat[:0]
 
-def _count_grams(alphabets):
-    most = 1 << 21
 
-    def rows(found: dict[str, tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        for name, (grams, counts) in found.items():
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(grams)), pa.array(grams), pa.array(counts)], ["cls", "g", "c"])
+def _class_seed(name: str) -> np.uint64:
+    return np.uint64(int.from_bytes(hashlib.blake2b(name.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little"))
 
-    def merged(held: tuple | None, waiting: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        grams, counts = np.unique(np.concatenate(waiting), return_counts=True)
-        if held is None:
-            return grams, counts.astype(np.int64)
-        both = np.concatenate([held[0], grams])
-        names, at = np.unique(both, return_inverse=True)
-        total = np.bincount(at, weights=np.concatenate([held[1], counts]), minlength=len(names))
-        return names, total.astype(np.int64)
+
+def _mixed(held: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """A hash grown by a symbol; multiplications wrap."""
+    grown = (held ^ more) * _FACTOR
+    grown = (grown ^ (grown >> _SHIFT)) * _FACTOR
+    return grown ^ (grown >> _SHIFT)
+
+
+def _grams(symbols: np.ndarray, seed: np.uint64, order: int) -> Iterator[list[np.ndarray]]:
+    """In pieces, the grams of each order by their ends: the place before the piece's first symbol, and each symbol.
+
+    The highest order has none that ends before the first symbol.
+    """
+    padded = np.concatenate([np.full(order - 1, _START), symbols])
+    for at in range(0, len(symbols), PIECE):
+        part = padded[at : at + PIECE + order - 1]
+        found = []
+        for o in range(1, order + 1):
+            ends = len(part) - (order - 1) + (o < order)
+            first = len(part) - ends - o + 1
+            held = np.full(ends, seed + np.uint64(o))
+            for i in range(o):
+                held = _mixed(held, part[first + i : first + i + ends])
+            found.append(held.view(np.int64))
+        yield found
+
+
+def _level_columns(order: int) -> list[str]:
+    """A gram, its endings (``g3, g2, g1``) and the contexts of all but the last (``x2, x1``)."""
+    return [*(f"g{o}" for o in range(order, 0, -1)), *(f"x{o}" for o in range(order - 1, 0, -1))]
+
+
+def _count_grams(words: bool, order: int):
+    names = ["cls", *_level_columns(order), "c"]
+
+    def summed(name: str, waiting: list[np.ndarray]) -> pa.RecordBatch:
+        rows = np.concatenate(waiting, axis=1)
+        _, at, counts = np.unique(rows[0], return_index=True, return_counts=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([name] * len(at), pa.string()), *(pa.array(r[at]) for r in rows), pa.array(counts.astype(np.int64))], names
+        )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         waiting: dict[str, list[np.ndarray]] = {}
         size: dict[str, int] = {}
         for batch in pieces(batches):
-            texts = batch.column("_text").cast(pa.binary()).to_pylist()
-            for name, text in zip(batch.column("_class").to_pylist(), texts, strict=True):
-                for run in _runs(text, alphabets.value.get(name, np.empty(0, dtype=np.int64))):
-                    gram = run[3:] | run[2:-1] << 8 | run[1:-2] << 16 | run[:-3] << 24
-                    waiting.setdefault(name, []).append(gram)
-                    size[name] = size.get(name, 0) + len(gram)
-                    if size[name] > most:
-                        found[name] = merged(found.get(name), waiting.pop(name))
-                        size[name] = 0
-            if sum(len(g) for g, _ in found.values()) > 4 * most:
-                yield from rows(found)
-                found = {}
+            for name, symbols in zip(batch.column("_learns").to_pylist(), _symbols(batch, words), strict=True):
+                for found in _grams(symbols, _class_seed(name), order):
+                    ends = [found[-1], *(g[1:] for g in found[-2::-1]), *(g[:-1] for g in found[-2::-1])]
+                    waiting.setdefault(name, []).append(np.stack(ends))
+                    size[name] = size.get(name, 0) + len(found[-1])
+                if size.get(name, 0) > SHARD_ROWS:
+                    yield summed(name, waiting.pop(name))
+                    size[name] = 0
         for name, parts in waiting.items():
-            found[name] = merged(found.get(name), parts)
-        yield from rows(found)
+            yield summed(name, parts)
+
+    return count, "cls string, " + ", ".join(f"{c} long" for c in names[1:])
 
-    return count
+
+def _document_grams(words: bool, order: int):
+    """``g, _doc, p, x``: how often a gram ends at a symbol of the document, and how often it is the context of one."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple[np.ndarray, ...]] = []
+        size = 0
+
+        def sent() -> pa.RecordBatch:
+            columns = (np.concatenate(c) for c in zip(*waiting, strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["g", "_doc", "p", "x"])
+
+        for batch in pieces(batches):
+            docs = batch.column("_doc").to_numpy()
+            for i, (name, symbols) in enumerate(zip(batch.column("_class").to_pylist(), _symbols(batch, words), strict=True)):
+                for found in _grams(symbols, _class_seed(name), order):
+                    for o, grams in enumerate(found, 1):
+                        ends, at = np.unique(grams, return_inverse=True)
+                        top = o == order
+                        p = np.bincount(at if top else at[1:], minlength=len(ends)).astype(np.int32)
+                        x = np.zeros_like(p) if top else np.bincount(at[:-1], minlength=len(ends)).astype(np.int32)
+                        waiting.append((ends, np.full(len(ends), docs[i]), p, x))
+                        size += len(ends)
+                if size > SHARD_ROWS:
+                    yield sent()
+                    waiting, size = [], 0
+        if waiting:
+            yield sent()
+
+    return rows, "g long, _doc long, p int, x int"
 
 
 def _discounts(level: DataFrame) -> DataFrame:
@@ -160,114 +207,63 @@ def _discounts(level: DataFrame) -> DataFrame:
     return counted.select("cls", *(d(i).alias(f"d{i}") for i in (1, 2, 3)))
 
 
-def smoothed(grams: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The model's table ``cls, o, g, ctx, alpha, gamma`` from the counts ``cls, g, c`` of the highest order.
+def smoothed(grams: DataFrame, order: int) -> tuple[DataFrame, DataFrame]:
+    """The model ``g, d, w`` from the counted grams of the highest order, and ``cls, unknown``.
 
-    A gram packs a character a byte, the last lowest. ``alpha`` is its
-    discounted share of its context, ``gamma`` what the context gives to the
-    next lower order. ``sizes``: ``cls, v``, the characters of a model.
+    ``d`` is what a gram adds to a log-probability, ``w`` the logarithm of what
+    it leaves, as a context, to the next lower order; a gram has a row for
+    each. ``unknown``: the log-probability of a symbol that no trusted text has.
     """
-    parts, level = [], grams
-    for o in range(ORDER, 0, -1):
-        if o < ORDER:
-            kept = F.col("g").bitwiseAND(F.lit((1 << 8 * o) - 1).cast("long"))
-            level = stage_table(level.groupBy("cls", kept.alias("g")).agg(F.count("*").alias("c")), f"op8_order{o}")
-        ctx = F.shiftright("g", 8)
+    levels, level = {}, grams
+    for o in range(order, 0, -1):
+        if o < order:
+            carried = [F.first(c).alias(c) for c in _level_columns(o)[1:]]
+            level = level.groupBy("cls", f"g{o}").agg(F.count("*").alias("c"), *carried)
+            level = stage_table(level, f"op8_order{o}")
+        levels[o] = level
+    parts, lower, unknown = [], None, None
+    for o in range(1, order + 1):
+        level = levels[o]
         kind = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-        cut = level.join(_discounts(level), "cls").select("cls", "g", "c", ctx.alias("ctx"), kind.alias("d"))
-        total = cut.groupBy("cls", "ctx").agg(F.sum("c").alias("total"), F.sum("d").alias("mass"))
-        parts.append(
-            cut.join(total, ["cls", "ctx"]).select(
-                "cls", F.lit(o).alias("o"), "g", "ctx", ((F.col("c") - F.col("d")) / F.col("total")).alias("alpha"),
-                (F.col("mass") / F.col("total")).alias("gamma"),
-            )
-        )
-    table = parts[0]
+        # A row per class: few, as language tags are.
+        cut = level.join(F.broadcast(_discounts(level)), "cls").withColumn("cut", kind).drop("d1", "d2", "d3")
+        share = (F.col("c") - F.col("cut")) / F.col("total")
+        sums = [F.sum("c").alias("total"), F.sum("cut").alias("mass")]
+        if o == 1:
+            # The lowest order falls back on the uniform distribution.
+            total = cut.groupBy("cls").agg(*sums, (F.count("*") + 2).alias("v"))
+            p = share + F.col("mass") / F.col("total") / F.col("v")
+            lower = stage_table(cut.join(F.broadcast(total), "cls").select("cls", "g1", p.alias("p")), "op8_lowest")
+            unknown = stage_table(lower.groupBy("cls").agg(F.log(F.min("p")).alias("unknown")), "op8_unknown")
+            value = F.log("p") - F.col("unknown")
+            parts.append(lower.join(F.broadcast(unknown), "cls").select(F.col("g1").alias("g"), value.alias("d"), F.lit(0.0).alias("w")))
+            continue
+        x = f"x{o - 1}"
+        total = stage_table(cut.groupBy(x).agg(*sums), f"op8_contexts{o}")
+        rest = F.col("mass") / F.col("total")
+        parts.append(total.select(F.col(x).alias("g"), F.lit(0.0).alias("d"), F.log(rest).alias("w")))
+        joined = cut.select(f"g{o}", f"g{o - 1}", x, "c", "cut").join(total, x).join(lower.select(f"g{o - 1}", "p"), f"g{o - 1}")
+        known = joined.select(f"g{o}", share.alias("share"), (rest * F.col("p")).alias("from_lower"))
+        known = known.select(
+            f"g{o}", (F.col("share") + F.col("from_lower")).alias("p"), F.log1p(F.col("share") / F.col("from_lower")).alias("d")
+        )
+        lower = stage_table(known, f"op8_known{o}")
+        parts.append(lower.select(F.col(f"g{o}").alias("g"), "d", F.lit(0.0).alias("w")))
+    model = parts[0]
     for part in parts[1:]:
-        table = table.unionAll(part)
-    # The lowest order falls back on the uniform distribution.
-    uniform = F.when(F.col("o") == 1, F.col("gamma") / F.col("v")).otherwise(0.0)
-    return table.join(sizes, "cls").select("cls", "o", "g", "ctx", (F.col("alpha") + uniform).alias("alpha"), "gamma", "v")
-
-
-def dense(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
-    """Of one class and shard: log-probabilities by context row and character, and the row of each context of ORDER - 1."""
-    v = int(rows["v"][0])
-    o, g, ctx, alpha, gamma = (rows[c] for c in ("o", "g", "ctx", "alpha", "gamma"))
-    table = np.zeros((1, v))
-    table[0, g[o == 1] & 255] = alpha[o == 1]
-    table[0, table[0] == 0] = table[0][table[0] > 0].min() if (table[0] > 0).any() else 1.0 / v
-    row_of = np.zeros(1, dtype=np.int64)
-    for order in range(2, ORDER + 1):
-        pick = o == order
-        names, at = np.unique(ctx[pick], return_inverse=True)
-        weight = np.zeros(len(names))
-        weight[at] = gamma[pick]
-        place, wide = np.zeros(len(names), dtype=np.int64), 0
-        for byte in range(order - 2, -1, -1):
-            place, wide = place * v + ((names >> (8 * byte)) & 255), wide + 1
-        lower = row_of[place % len(row_of)]
-        made = table[lower] * weight[:, None]
-        np.add.at(made, (at, g[pick] & 255), alpha[pick])
-        row_of = np.tile(row_of, v)
-        row_of[place] = len(table) + np.arange(len(names))
-        table = np.concatenate([table, made])
-    return np.log(table).astype(np.float32), row_of.astype(np.int32), v
-
-
-_built: dict[tuple[str, str], tuple | None] = {}
-
-
-def _dense_once(model: str, name: str, held: dict) -> tuple | None:
-    """``dense`` of a class, kept by this Python process as long as the model is in use."""
-    if (model, name) not in _built:
-        for old in [k for k in _built if k[0] != model]:
-            del _built[old]
-        rows = held.get(name)
-        _built[model, name] = None if rows is None else dense(rows)
-    return _built[model, name]
-
-
-def _score(alphabets, model, shards: int, shard: int):
-    """Sum of log-probabilities and number of the characters whose last context character falls into the shard."""
-    own_name = uuid.uuid4().hex
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            sums, counts = [], []
-            texts = batch.column("_text").cast(pa.binary()).to_pylist()
-            for name, text in zip(batch.column("_class").to_pylist(), texts, strict=True):
-                total, n = 0.0, 0
-                part = _dense_once(own_name, name, model.value) if text else None
-                if part is not None:
-                    logs, row_of, v = part
-                    flat = logs.reshape(-1)
-                    for run in _runs(text, alphabets.value[name]):
-                        place = (run[:-3] * v + run[1:-2]) * v + run[2:-1]
-                        if shards > 1:
-                            own = _shard_of(run[2:-1], shards) == shard
-                            place, last = place[own], run[3:][own]
-                        else:
-                            last = run[3:]
-                        total += float(flat[row_of[place].astype(np.int64) * v + last].sum(dtype=np.float64))
-                        n += len(last)
-                sums.append(total)
-                counts.append(n)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in (*KEY, "_class")), pa.array(sums, pa.float64()), pa.array(counts, pa.int64())],
-                [*KEY, "_class", "logp", "n"],
-            )
-
-    return score
-
-
-def _shard_of(symbols, shards: int):
-    return symbols % shards
-
-
-def perplexities(docs: DataFrame, trusted: DataFrame, *, doc_id: str, text: str, lang: str) -> DataFrame:
-    """``_id, _h, _class, n, logp, trusted`` per row; ``trusted`` names the ids of trusted documents (``_tid``)."""
-    spark = docs.sparkSession
+        model = model.unionAll(part)
+    return model, unknown
+
+
+def perplexities(
+    docs: DataFrame, trusted: DataFrame, *, doc_id: str, text: str, lang: str, words: bool = False, folds: int = 1
+) -> DataFrame:
+    """``_id, _h, _class, n, chars, logp, trusted`` per row; ``trusted`` names the ids of trusted documents (``_tid``).
+
+    ``n`` counts symbols. With one fold, the documents that a model has learnt
+    are scored by it too.
+    """
+    order = WORDS if words else ORDER
     body = docs[text].cast("string")
     rows = docs.select(
         docs[doc_id].alias("_id"), F.xxhash64(body).alias("_h"), body.alias("_text"), docs[lang].cast("string").alias("_lang")
@@ -276,57 +272,50 @@ def perplexities(docs: DataFrame, trusted: DataFrame, *, doc_id: str, text: str,
     big = stage_table(counted.filter(F.col("count") >= MIN_TRUSTED).select(F.col("_lang").alias("_known")), "op8_languages")
     # The languages with enough trusted documents; a language tag is a short word, and there are few.
     rows = rows.join(big, rows["_lang"] == big["_known"], "left")
-    rows = rows.select(*KEY, "_text", F.coalesce("_known", F.lit(POOLED)).alias("_class"))
-
-    points = rows.select("_class", "_text").mapInArrow(_count_characters, "cls string, point long, n long")
-    points = points.groupBy("cls", "point").agg(F.sum("n").alias("n"))
-    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "point"))), 1, ALPHABET)
-    chosen = stage_table(points.groupBy("cls").agg(F.array_sort(best["point"]).alias("points")), "op8_alphabets")
-    found = {r.cls: np.array(r.points, dtype=np.int64) for r in chosen.collect()}  # ALPHABET numbers a class at most
-    alphabets = spark.sparkContext.broadcast(found)
+    rows = rows.select(*KEY, "_text", F.coalesce("_known", F.lit(POOLED)).alias("_language"))
+    fold = F.pmod(F.coalesce("_h", F.lit(0)), F.lit(folds)).cast("int")
+    of_fold = lambda k: F.concat("_language", F.lit("\0"), k.cast("string"))
+    rows = rows.withColumn("_fold", fold).withColumn("_class", of_fold(F.col("_fold")))
+    symbols = F.coalesce(_word_hashes(F.col("_text")), F.array().cast("array<long>")) if words else F.col("_text")
 
     # Trusted ids grow with the corpus: they are never broadcast.
-    learn = rows.join(trusted.hint("merge"), rows["_id"] == trusted["_tid"], "left_semi").select("_class", "_text")
-    grams = learn.mapInArrow(_count_grams(alphabets), "cls string, g long, c long")
-    grams = stage_table(grams.groupBy("cls", "g").agg(F.sum("c").alias("c")), "op8_grams")
-    sizes = chosen.select("cls", (F.size("points") + _FIRST).alias("v"))
-    table = stage_table(smoothed(grams, sizes), "op8_model")
-
-    shards = max(1, math.ceil(table.count() / SHARD_ROWS))
-    parts = []
-    for shard in range(shards):
-        own = (F.col("o") == 1) | (_shard_of(F.col("ctx").bitwiseAND(F.lit(255).cast("long")), shards) == shard)
-        got = table.filter(own).toArrow()  # about SHARD_ROWS rows
-        names = np.array(got.column("cls").to_pylist(), dtype=object)
-        arrays = {c: got.column(c).to_numpy() for c in ("o", "g", "ctx", "alpha", "gamma", "v")}
-        held = {name: {c: a[names == name] for c, a in arrays.items()} for name in set(names)}
-        model = spark.sparkContext.broadcast(held)
-        kinds = dict(rows.dtypes)
-        parts.append(
-            rows.mapInArrow(
-                _score(alphabets, model, shards, shard), f"_id {kinds['_id']}, _h long, _class string, logp double, n long"
-            )
-        )
-    scored = parts[0]
-    for part in parts[1:]:
-        scored = scored.unionAll(part)
-    if shards > 1:
-        rows_of = F.count("*") / F.lit(shards)
-        scored = scored.groupBy(*KEY, "_class").agg(F.sum("logp").alias("logp"), F.sum("n").alias("n"), rows_of.alias("k"))
-        scored = scored.select(
-            *KEY, "_class", F.col("logp") / F.col("k"), (F.col("n") / F.col("k")).cast("long"),
-            F.explode(F.sequence(F.lit(1), F.col("k").cast("int"))).alias("k"),
-        ).toDF(*KEY, "_class", "logp", "n", "k").drop("k")
-    scored = stage_table(scored, "op8_scores")
+    learn = rows.join(trusted.hint("merge"), rows["_id"] == trusted["_tid"], "left_semi")
+    taught = F.explode(F.sequence(F.lit(0), F.lit(folds - 1)))
+    learn = learn.select("_text", "_language", "_fold", taught.alias("_to"))
+    if folds > 1:
+        learn = learn.filter("_to <> _fold")
+    learn = learn.select(of_fold(F.col("_to")).alias("_learns"), symbols.alias("_text"))
+    count, kinds = _count_grams(words, order)
+    carried = [F.first(c).alias(c) for c in _level_columns(order)[1:]]
+    grams = learn.mapInArrow(count, kinds).groupBy("cls", f"g{order}").agg(F.sum("c").alias("c"), *carried)
+    model, unknown = smoothed(stage_table(grams, "op8_grams"), order)
+
+    scored = rows.withColumn("_doc", F.xxhash64(*KEY, "_class"))
+    rows_of, kinds = _document_grams(words, order)
+    own = scored.select("_doc", "_class", symbols.alias("_text")).mapInArrow(rows_of, kinds)
+    # The rows of a document that is repeated are summed together; each has its part.
+    value = F.col("p") * F.col("d") + F.col("x") * F.col("w")
+    sums = own.join(model.hint("merge"), "g").groupBy("_doc").agg(F.sum(value).alias("gain"))
+    n = F.size(symbols) if words else F.length("_text")
+    each = scored.select(*KEY, "_class", "_language", "_doc", F.coalesce(n, F.lit(0)).alias("n"), F.coalesce(F.length("_text"), F.lit(0)).alias("chars"))
+    each = each.groupBy(*each.columns).agg(F.count("*").alias("k"))
+    each = each.join(F.broadcast(unknown.withColumnRenamed("cls", "_c")), F.col("_class") == F.col("_c"), "left").join(sums, "_doc", "left")
+    logp = F.when(F.col("unknown").isNull(), 0.0).otherwise(F.col("n") * F.col("unknown") + F.coalesce("gain", F.lit(0.0)) / F.col("k"))
+    learnt = F.when(F.col("unknown").isNull(), 0).otherwise(F.col("n")).cast("long")
+    each = each.select(
+        *KEY, F.col("_language").alias("_class"), learnt.alias("n"), F.col("chars").cast("long").alias("chars"), logp.alias("logp"),
+        F.explode(F.sequence(F.lit(1), F.col("k").cast("int"))).alias("_k"),
+    ).drop("_k")
+    each = stage_table(each, "op8_scores")
     marked = trusted.select("_tid", F.lit(True).alias("trusted"))
-    return scored.join(marked, scored["_id"] == marked["_tid"], "left").select(
-        *KEY, "_class", "n", "logp", F.coalesce("trusted", F.lit(False)).alias("trusted")
+    return each.join(marked, each["_id"] == marked["_tid"], "left").select(
+        *KEY, "_class", "n", "chars", "logp", F.coalesce("trusted", F.lit(False)).alias("trusted")
     )
 
 
 def _band() -> Column:
     """Lengths by powers of two, from 64 characters to 4096."""
-    return F.greatest(F.lit(6), F.least(F.lit(12), F.floor(F.log2(F.col("n").cast("double")))))
+    return F.greatest(F.lit(6), F.least(F.lit(12), F.floor(F.log2(F.col("chars").cast("double")))))
 
 
 def trusted_ids(labels: DataFrame, *, doc_id: str = "doc_id", quality: str = "quality") -> DataFrame:
@@ -343,7 +332,7 @@ def classify(
     margin: float = MARGIN,
 ) -> DataFrame:
     """One row per row of ``docs``: ``_id, _h, n_chars, perplexity, threshold, rejected``."""
-    scored = perplexities(docs, trusted_ids(labels), doc_id=doc_id, text=text, lang=lang)
+    scored = perplexities(docs, trusted_ids(labels), doc_id=doc_id, text=text, lang=lang, words=True, folds=FOLDS)
     scored = stage_table(
         scored.withColumn("level", F.when(F.col("n") > 0, -F.col("logp") / F.col("n"))).withColumn("band", _band()),
         "op8_levels",
@@ -362,7 +351,7 @@ def classify(
     limit = q[1] + F.lit(margin) * (q[1] - q[0])
     return joined.select(
         *KEY,
-        F.col("n").alias("n_chars"),
+        F.col("chars").alias("n_chars"),
         F.exp("level").alias("perplexity"),
         F.exp(limit).alias("threshold"),
         F.coalesce(F.col("level") > limit, F.lit(False)).alias("rejected"),

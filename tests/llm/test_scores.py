@@ -152,3 +152,17 @@ def test_registered_quality_keeps_good_documents(spark):
     got = op8_kneser_ney(spark, MID).join(spark.read.parquet(f"{MID}/labels.parquet"), "doc_id")
     rate = {r.quality: r.share for r in got.groupBy("quality").agg(F.avg(F.col("rejected").cast("int")).alias("share")).collect()}
     assert rate[1] < 0.02 and rate[0] > 0.7
+
+
+def test_every_symbol_counts(spark):
+    """More symbols than bytes have: a known rare one differs from one that no trusted text has."""
+    texts = ["".join(chr(0x4E00 + (7 * i + j) % 400) for j in range(40)) for i in range(400)]
+    tests = [(900, texts[3]), (901, "".join(chr(0x4E00 + 500 + j) for j in range(40)))]
+    docs = spark.createDataFrame([*((i, t, "zh") for i, t in enumerate(texts)), *((i, t, "zh") for i, t in tests)], "doc_id long, text string, lang string")
+    trusted = spark.createDataFrame([(i,) for i in range(400)], "_tid long")
+    got = {r._id: r.logp / r.n for r in perplexities(docs, trusted, doc_id="doc_id", text="text", lang="lang").collect()}
+    model = slow_model(texts)
+    assert got[900] == pytest.approx(model(texts[3]) / 40, rel=1e-4)
+    assert got[901] < got[900] - 2
+    spaceless = perplexities(docs, trusted, doc_id="doc_id", text="text", lang="lang", words=True).collect()
+    assert {r.n for r in spaceless} == {40}
