@@ -30,11 +30,14 @@ all its grams would be known. So each language has ``FOLDS`` models; a trusted
 text is learnt by the models of the other folds and scored by its own, and the
 fold is that of the text's hash, so that copies share it.
 
-*Threshold.* With m and u the quantiles ``MIDDLE`` and ``UPPER`` of the
-log-perplexities of a language's trusted documents in a band of lengths (by
-powers of two, since short texts vary more), a document is rejected above
-``u + MARGIN * (u - m)``. The sketch of Spark's approximate quantiles is used,
-over all trusted documents.
+*Threshold.* A document is rejected above the quantile ``UPPER`` of the
+log-perplexities of its language's trusted documents in a band of lengths (by
+powers of two, since short texts vary more), or further by ``margin`` times
+the distance from the middle. A text that repeats itself can be sane by that
+measure, so a document is rejected too whose variety, the distinct pairs of
+neighbours a symbol, is below the quantile ``LOWER`` of the same documents.
+The sketch of Spark's approximate quantiles is used, over all trusted
+documents.
 
 A language with under ``MIN_TRUSTED`` trusted documents shares its models with
 all such languages.
@@ -63,7 +66,8 @@ from rebuy.llm.common import KEY, pieces, stage_table
 ORDER, WORDS = 4, 3
 FOLDS = 2
 MIN_TRUSTED = 50
-MIDDLE, UPPER, MARGIN = 0.5, 0.99, 1.0
+MIDDLE, UPPER, MARGIN = 0.5, 0.99, 0.0
+LOWER = 0.005
 #: The class of rare and null languages.
 POOLED = "*"
 #: Symbols of a text that are handled at once.
@@ -258,9 +262,10 @@ def smoothed(grams: DataFrame, order: int) -> tuple[DataFrame, DataFrame]:
 def perplexities(
     docs: DataFrame, trusted: DataFrame, *, doc_id: str, text: str, lang: str, words: bool = False, folds: int = 1
 ) -> DataFrame:
-    """``_id, _h, _class, n, chars, logp, trusted`` per row; ``trusted`` names the ids of trusted documents (``_tid``).
+    """``_id, _h, _class, n, chars, pairs, logp, trusted`` per row; ``trusted`` names the ids of trusted documents (``_tid``).
 
-    ``n`` counts symbols. With one fold, the documents that a model has learnt
+    ``n`` counts symbols, ``pairs`` the distinct pairs of neighbours among
+    them (of words only). With one fold, the documents that a model has learnt
     are scored by it too.
     """
     order = WORDS if words else ORDER
@@ -296,20 +301,27 @@ def perplexities(
     # The rows of a document that is repeated are summed together; each has its part.
     value = F.col("p") * F.col("d") + F.col("x") * F.col("w")
     sums = own.join(model.hint("merge"), "g").groupBy("_doc").agg(F.sum(value).alias("gain"))
-    n = F.size(symbols) if words else F.length("_text")
-    each = scored.select(*KEY, "_class", "_language", "_doc", F.coalesce(n, F.lit(0)).alias("n"), F.coalesce(F.length("_text"), F.lit(0)).alias("chars"))
+    n = F.size("_symbols") if words else F.length("_symbols")
+    # The hashes are numbers already: a pair is one of them turned and joined with the other.
+    turned = "shiftleft(a, 1) ^ shiftrightunsigned(a, 63) ^ b"
+    pairs = F.expr(f"size(array_distinct(zip_with(slice(_symbols, 1, size(_symbols) - 1), slice(_symbols, 2, size(_symbols)), (a, b) -> {turned})))")
+    each = scored.withColumn("_symbols", symbols).select(
+        *KEY, "_class", "_language", "_doc", F.coalesce(n, F.lit(0)).alias("n"), F.coalesce(F.length("_text"), F.lit(0)).alias("chars"),
+        (F.when(F.size("_symbols") > 1, pairs).otherwise(0) if words else F.lit(0)).alias("pairs"),
+    )
     each = each.groupBy(*each.columns).agg(F.count("*").alias("k"))
     each = each.join(F.broadcast(unknown.withColumnRenamed("cls", "_c")), F.col("_class") == F.col("_c"), "left").join(sums, "_doc", "left")
     logp = F.when(F.col("unknown").isNull(), 0.0).otherwise(F.col("n") * F.col("unknown") + F.coalesce("gain", F.lit(0.0)) / F.col("k"))
     learnt = F.when(F.col("unknown").isNull(), 0).otherwise(F.col("n")).cast("long")
     each = each.select(
-        *KEY, F.col("_language").alias("_class"), learnt.alias("n"), F.col("chars").cast("long").alias("chars"), logp.alias("logp"),
+        *KEY, F.col("_language").alias("_class"), learnt.alias("n"), F.col("chars").cast("long").alias("chars"),
+        F.col("pairs").cast("long").alias("pairs"), logp.alias("logp"),
         F.explode(F.sequence(F.lit(1), F.col("k").cast("int"))).alias("_k"),
     ).drop("_k")
     each = stage_table(each, "op8_scores")
     marked = trusted.select("_tid", F.lit(True).alias("trusted"))
     return each.join(marked, each["_id"] == marked["_tid"], "left").select(
-        *KEY, "_class", "n", "chars", "logp", F.coalesce("trusted", F.lit(False)).alias("trusted")
+        *KEY, "_class", "n", "chars", "pairs", "logp", F.coalesce("trusted", F.lit(False)).alias("trusted")
     )
 
 
@@ -331,14 +343,19 @@ def classify(
     lang: str = "lang",
     margin: float = MARGIN,
 ) -> DataFrame:
-    """One row per row of ``docs``: ``_id, _h, n_chars, perplexity, threshold, rejected``."""
+    """One row per row of ``docs``: ``_id, _h, n_chars, perplexity, threshold, rejected``.
+
+    ``threshold`` is that of the perplexity.
+    """
     scored = perplexities(docs, trusted_ids(labels), doc_id=doc_id, text=text, lang=lang, words=True, folds=FOLDS)
     scored = stage_table(
-        scored.withColumn("level", F.when(F.col("n") > 0, -F.col("logp") / F.col("n"))).withColumn("band", _band()),
+        scored.withColumn("level", F.when(F.col("n") > 0, -F.col("logp") / F.col("n")))
+        .withColumn("variety", F.when(F.col("n") > 1, F.col("pairs") / (F.col("n") - 1)))
+        .withColumn("band", _band()),
         "op8_levels",
     )
     learnt = scored.filter("trusted AND level IS NOT NULL")
-    quantiles = F.percentile_approx("level", [MIDDLE, UPPER], 10_000)
+    quantiles = F.concat(F.percentile_approx("level", [MIDDLE, UPPER], 10_000), F.percentile_approx("variety", [LOWER], 10_000))
     # Bands with too few trusted documents take the quantiles of the whole language.
     by_band = learnt.groupBy(F.col("_class").alias("_c"), F.col("band").alias("_b")).agg(
         quantiles.alias("q"), F.count("*").alias("k")
@@ -354,5 +371,5 @@ def classify(
         F.col("chars").alias("n_chars"),
         F.exp("level").alias("perplexity"),
         F.exp(limit).alias("threshold"),
-        F.coalesce(F.col("level") > limit, F.lit(False)).alias("rejected"),
+        (F.coalesce(F.col("level") > limit, F.lit(False)) | F.coalesce(F.col("variety") < q[2], F.lit(False))).alias("rejected"),
     )

@@ -166,3 +166,18 @@ def test_every_symbol_counts(spark):
     assert got[901] < got[900] - 2
     spaceless = perplexities(docs, trusted, doc_id="doc_id", text="text", lang="lang", words=True).collect()
     assert {r.n for r in spaceless} == {40}
+
+
+def test_registered_quality_rejects_every_kind_of_junk(spark):
+    labels = spark.read.parquet(f"{MID}/labels.parquet")
+    texts = {r.doc_id: r.text.split() for r in spark.read.parquet(f"{MID}/documents.parquet").join(labels.filter("quality = 0"), "doc_id").collect()}
+    kinds = {
+        "repeats": lambda w: sum(a == b for a, b in zip(w, w[1:])) > len(w) / 2,
+        "pieces": lambda w: w.count("|") > len(w) / 10,
+        "capitals": lambda w: sum(x.endswith("!!") for x in w) > len(w) / 5,
+        "marks": lambda w: sum(x[-1] in "#$%&*" for x in w) > len(w) / 5,
+    }
+    rejected = {r.doc_id for r in op8_kneser_ney(spark, MID).filter("rejected").collect()}
+    for kind, holds in kinds.items():
+        members = [i for i, w in texts.items() if holds(w)]
+        assert members and sum(i in rejected for i in members) >= 0.8 * len(members), kind
