@@ -16,13 +16,22 @@ many phases as sources at most. Both are computed by one expression over arrays
 of a number per source. A document's slot follows from its number in its source
 by arithmetic, whatever the size of the data.
 
+*The rest.* Targets are seldom whole percents. A source has a class of its own
+with the whole percents of its target, and what is left of all targets (of a
+source under one percent, all of it) makes up one more class, whose weight is
+whole too. Each source gives that class the matching part of its blocks. Inside
+it, the j-th block of a source with the exact weight w has the time
+``(j + 1/2) / w``, and blocks go by time: a source is half a block from its
+weight times the time at most, so no source loses its target, however many
+there are. Times are ranked in two levels like documents.
+
 Documents are numbered within a source in two levels: by hash ranges of about
 ``RUN`` documents, whose counts are summed, and by a window within a range. A
 source with a third of all rows is so numbered in many tasks.
 
-Weights are whole percents. Given ``targets``, sources not named share the rest
-as one class; without, a source weighs as the power ``temper`` of its document
-count, and sources that come to under half a percent are pooled in that class.
+Given ``targets``, whole percents, sources not named share the rest as one class
+by their sizes; without, a source weighs as the power ``temper`` of its document
+count.
 
 Defined cases: a null source is a source of its own. Rows that repeat id and
 text are numbered one after the other. Sources whose target is 0 come last, in
@@ -101,29 +110,52 @@ def phases_expression(weights: str, blocks: str) -> str:
     return f"aggregate({rounds}, {begin}, (s, r) -> IF(exists(s.remaining, l -> l > 0), {step}, s), s -> s.found)"
 
 
-def source_classes(counts: DataFrame, targets: dict[str, int] | None, temper: float) -> DataFrame:
-    """``_source, class, weight`` from ``_source, n``: at most about 200 classes."""
+def source_classes(counts: DataFrame, targets: dict[str, int] | None, temper: float, block_docs: int) -> DataFrame:
+    """``_source, n, own, n_own, part, rest`` from ``_source, n``.
+
+    ``own`` is the weight of the source's own class and ``n_own`` its documents
+    there; the others belong to the class ``POOLED`` of weight ``rest``, in
+    which the source weighs ``part``. At most about 100 sources have a class of
+    their own, or those named by ``targets``.
+    """
     if targets is not None:
         if any(w < 0 for w in targets.values()) or sum(targets.values()) > 100:
             raise ValueError("targets are percents: none below 0, 100 at most in all")
         named = F.create_map(*(F.lit(x) for pair in targets.items() for x in pair)) if targets else F.lit(None)
         weight = (named[F.col("_source")] if targets else named).cast("long")
-        rest = max(0, 100 - sum(targets.values()))
         return counts.select(
-            "_source",
-            F.when(weight.isNotNull(), F.col("_source")).otherwise(F.lit(POOLED)).alias("class"),
-            F.coalesce(weight, F.lit(rest).cast("long")).alias("weight"),
-        )
+            "_source", "n", F.coalesce(weight, F.lit(0)).cast("long").alias("own"),
+            F.when(weight.isNotNull(), F.col("n")).otherwise(0).cast("long").alias("n_own"),
+            F.col("n").cast("double").alias("part"), F.lit(max(0, 100 - sum(targets.values()))).cast("long").alias("rest"),
+        )
     powered = counts.withColumn("power", F.pow(F.col("n").cast("double"), F.lit(temper)))
     total = powered.agg(F.sum("power")).first()[0] or 1.0
-    share = F.round(100 * F.col("power") / F.lit(total)).cast("long")
-    pooled = powered.withColumn("class", F.when(share > 0, F.col("_source")).otherwise(F.lit(POOLED)))
-    by_class = pooled.groupBy("class").agg(F.sum("power").alias("p"))
-    by_class = by_class.select(
-        F.col("class").alias("_c"), F.greatest(F.lit(1), F.round(100 * F.col("p") / F.lit(total))).cast("long").alias("weight")
-    )
-    joined = pooled.join(by_class, pooled["class"].eqNullSafe(by_class["_c"]))
-    return joined.select("_source", "class", "weight")
+    share = powered.withColumn("share", 100 * F.col("power") / F.lit(total))
+    # A share that is whole but for rounding is whole.
+    near = F.abs(F.col("share") - F.round("share")) < 1e-9
+    share = share.withColumn("share", F.when(near, F.round("share")).otherwise(F.col("share")))
+    whole = F.when(F.col("_source") == POOLED, 0).otherwise(F.floor("share")).cast("long")
+    share = share.withColumn("own", whole)
+    rest = F.lit(100 - (share.agg(F.sum("own")).first()[0] or 0)).cast("long")
+    blocks = F.ceil(F.col("n") * F.col("own") / F.col("share") / F.lit(block_docs))
+    n_own = F.least(F.col("n"), blocks * F.lit(block_docs)).cast("long")
+    return share.select("_source", "n", "own", n_own.alias("n_own"), (F.col("share") - F.col("own")).alias("part"), rest.alias("rest"))
+
+
+def pooled_blocks(classes: DataFrame, block_docs: int) -> DataFrame:
+    """``_source, _j, _rank``: the place among the blocks of the class ``POOLED`` of each block that a source has there."""
+    given = classes.filter("n > n_own")
+    total = given.agg(F.sum("part")).first()[0] or 1.0
+    last = F.expr(f"(n - n_own - 1) DIV {block_docs}")
+    # Of the class as a whole, about one block goes in a unit of time.
+    times = given.select("_source", (F.col("part") / F.lit(total)).alias("w"), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_j"))
+    times = times.withColumn("_time", (F.col("_j") + 0.5) / F.col("w")).withColumn("_span", F.floor(F.col("_time") / RUN))
+    in_span = times.groupBy("_span").agg(F.count("*").alias("n"))
+    before = Window.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = in_span.select("_span", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
+    within = Window.partitionBy("_span").orderBy("_time", F.xxhash64("_source"), "_source")
+    ranked = times.withColumn("_in_span", F.row_number().over(within) - 1).join(offsets, "_span")
+    return ranked.select("_source", "_j", (F.col("_before") + F.col("_in_span")).alias("_rank"))
 
 
 def mixed(
@@ -153,17 +185,22 @@ def mixed(
     counts = stage_table(base.groupBy("_source").agg(F.count("*").alias("n")), "op3_sources")
     total = counts.agg(F.sum("n")).first()[0] or 0
     runs = max(1, -(-total // RUN))
-    classes = stage_table(source_classes(counts, targets, temper), "op3_classes")
+    classes = stage_table(source_classes(counts, targets, temper, block_docs), "op3_classes")
+    pooled = stage_table(pooled_blocks(classes, block_docs), "op3_pooled")
 
-    # One row per source, at most about 200 classes: small by the bound on classes or the given targets.
-    sized = classes.join(counts, "_source").groupBy("class").agg(F.sum("n").alias("n"), F.max("weight").alias("weight"))
-    sized = sized.withColumn("blocks", F.ceil(F.col("n") / F.lit(block_docs)).cast("long"))
+    # One row per class, at most about 100: small by the bound on classes or the given targets.
+    sized = classes.filter("n_own > 0").select(
+        F.col("_source").alias("class"), F.col("own").alias("weight"), F.ceil(F.col("n_own") / F.lit(block_docs)).cast("long").alias("blocks")
+    )
+    others = pooled.agg(F.count("*").alias("blocks")).filter("blocks > 0").crossJoin(classes.agg(F.max("rest").alias("weight")))
+    sized = sized.unionAll(others.select(F.lit(POOLED).alias("class"), "weight", "blocks"))
     one = sized.agg(F.array_sort(F.collect_list(F.struct("class", "weight", "blocks"))).alias("c"))
     plan = one.select(
         F.col("c.class").alias("classes"), F.col("c.weight").alias("w0"), F.col("c.blocks").alias("b0")
     ).withColumn("phases", F.expr(phases_expression("w0", "b0")))
-    of_class = plan.select(F.posexplode("classes").alias("i", "class"), "phases").select(
+    of_class = plan.select(F.posexplode("classes").alias("i", "class"), "phases", "w0").select(
         "class",
+        F.expr("w0[i]").alias("weight"),
         F.expr(
             "transform(phases, f -> struct(f.start AS start, f.q AS q, f.first[i] AS first, f.taken[i] AS taken, "
             "f.w[i] AS w, f.places[i] AS places))"
@@ -172,16 +209,21 @@ def mixed(
     of_class = stage_table(of_class, "op3_plan")
 
     run = F.pmod(F.shiftright("_order", 20), F.lit(runs)).cast("long")
-    tagged = base.join(classes, "_source").withColumn("_run", run)
-    in_run = tagged.groupBy("class", "_run").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("class").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = in_run.select("class", "_run", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
-    within = Window.partitionBy("class", "_run").orderBy("_order")
+    tagged = base.join(classes.select("_source", "n_own"), "_source").withColumn("_run", run)
+    in_run = tagged.groupBy("_source", "_run").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("_source").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = in_run.select("_source", "_run", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
+    within = Window.partitionBy("_source", "_run").orderBy("_order")
     numbered = (
         tagged.withColumn("_in_run", F.row_number().over(within) - 1)
-        .join(offsets, ["class", "_run"])
+        .join(offsets, ["_source", "_run"])
         .withColumn("_n", F.col("_before") + F.col("_in_run"))
-        .withColumn("_block", F.expr(f"_n DIV {block_docs}"))
+        # Blocks of a source's own class count down from -1, so that they match none of the others and spread in the join.
+        .withColumn("_j", F.expr(f"IF(_n < n_own, -1L - _n DIV {block_docs}, (_n - n_own) DIV {block_docs})"))
+        .join(pooled, ["_source", "_j"], "left")
+        .withColumn("class", F.when(F.col("_j") < 0, F.col("_source")).otherwise(F.lit(POOLED)))
+        .withColumn("_block", F.when(F.col("_j") < 0, -1 - F.col("_j")).otherwise(F.col("_rank")))
+        .withColumn("_place", F.expr(f"cast(IF(_j < 0, _n, _n - n_own) % {block_docs} AS int)"))
     )
     placed = numbered.join(of_class, "class").withColumn("_f", F.expr(
         "filter(_phases, f -> _block >= f.first AND _block < f.first + f.taken)[0]"
@@ -193,7 +235,7 @@ def mixed(
         F.col("weight").alias("mix_weight"),
         F.col("_block").alias("mix_block"),
         F.expr(slot).alias("mix_slot"),
-        F.expr(f"cast(_n % {block_docs} AS int)").alias("mix_place"),
+        F.col("_place").alias("mix_place"),
     )
 
 

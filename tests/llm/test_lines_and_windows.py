@@ -166,6 +166,25 @@ def test_mix(spark, odd, targets, monkeypatch):
     assert simulated(weights, blocks) == [name[slots[s][0].mix_class] for s in sorted(slots)]
 
 
+@pytest.mark.parametrize("sources", [30, 250])
+def test_every_source_of_many_keeps_its_target(spark, odd, sources, monkeypatch):
+    """Shares with fractions, and more sources than percents: each is near its exact weight all along."""
+    monkeypatch.setattr(pfair_mix, "RUN", 40)
+    rows = [(i * 100 + k, f"t{i} {k}", "en", f"s{i:03}", 1) for i in range(sources) for k in range(12 + i % 7)]
+    got = mixed(odd(rows), block_docs=1, keep=["source"]).orderBy("mix_slot").collect()
+    sizes = Counter(r[3] for r in rows)
+    assert Counter(r.source for r in got) == sizes
+    total = sum(n**0.5 for n in sizes.values())
+    done = Counter()
+    # Until the first source runs out; a block of its own class and one of the others at most.
+    for t, r in enumerate(got, 1):
+        done[r.source] += 1
+        if done[r.source] == sizes[r.source]:
+            break
+        assert all(abs(done[x] - t * n**0.5 / total) < 2 for x, n in sizes.items())
+    assert t > len(got) / 2
+
+
 def test_mix_empty_and_wrong_targets(odd):
     assert mixed(odd([])).count() == 0
     with pytest.raises(ValueError, match="percents"):
