@@ -1,6 +1,9 @@
 """Line dedup by distinct-site spread (native DataFrame operations only).
 
-A line that many sites carry is boilerplate. Every document gives its distinct
+A line that ``MIN_SITES`` sites or more carry is boilerplate, of any length and
+however many sites or documents the table has: the same line gets the same
+verdict in a small table as in a large one once that many sites hold it, and
+with fewer sites than that in all, there is none. Every document gives its distinct
 line hashes; a HyperLogLog sketch of the sites is merged per hash by one
 aggregation, so a line of a third of all rows costs a sketch per task. Lines
 whose estimate is within ``BAND`` of the threshold get an exact distinct count;
@@ -27,8 +30,8 @@ from pyspark.sql import functions as F
 
 from rebuy.llm.common import KEY, key_join, keyed, packed, stage_table
 
-#: Sites from which on a line is boilerplate.
-MIN_SITES = 10
+#: Sites from which on a line is boilerplate: two may share a line by one copying the other.
+MIN_SITES = 3
 #: Share of the threshold around it where sites are counted exactly.
 BAND = 0.2
 LG_K = 12

@@ -10,7 +10,7 @@ from rebuy.llm.line_spread import MIN_SITES, drop_spread_lines
 
 
 def op5_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the lines that ten sources or more carry."""
+    """Every document without the lines that ``MIN_SITES`` sources or more carry."""
     cleaned = drop_spread_lines(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return cleaned.select(
         "doc_id",

@@ -99,6 +99,20 @@ def test_line_spread(spark, odd, monkeypatch):
     assert drop_spread_lines(odd([])).count() == 0
 
 
+def test_spread_of_few_sites(spark, odd):
+    """Long passages in few of many sites, or mostly in a hot one, and tables with fewer than ten sites."""
+    few, hot = (" ".join(f"{name}{i}" for i in range(60)) for name in ("few", "hot"))
+    for sites in (4, 20):
+        rows = [(i, f"own text {i}", "en", f"s{i % sites}", 1) for i in range(40)]
+        rows += [(100 + i, f"{few}\nown {i}", "en", f"s{i}", 1) for i in range(3)]
+        rows += [(200 + i, f"{hot}\nhot {i}", "en", f"s{max(0, i - 297)}", 1) for i in range(300)]
+        rows += [(600 + i, "two sites", "en", f"s{i}", 1) for i in range(2)]
+        got = {r.doc_id: r for r in drop_spread_lines(odd(rows)).collect()}
+        assert {i: got[i].text for i in (100, 101, 102)} == {100: f"{few}\nown 0", 101: "own 1", 102: "own 2"}
+        assert got[200].text.startswith(hot) and all(got[200 + i].text == f"hot {i}" for i in range(1, 300))
+        assert got[600].text == got[601].text == "two sites" and sum(r._n_dropped for r in got.values()) == 301
+
+
 @pytest.fixture(scope="module")
 def encoder():
     with open(lh.VOCABULARY, "rb") as f:
