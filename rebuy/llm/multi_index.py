@@ -52,10 +52,12 @@ LEAST_VISITED = 2000
 
 def usable(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """``id, e``: one row per id, with the vectors that take part."""
-    rows = vectors.select(vectors[vec_id].cast("long").alias("id"), vectors[embedding].cast("array<float>").alias("e"))
+    # Floats stay as they are; all other numbers are read as doubles.
+    kind = "array<float>" if dict(vectors.dtypes)[embedding] == "array<float>" else "array<double>"
+    rows = vectors.select(vectors[vec_id].cast("long").alias("id"), vectors[embedding].cast(kind).alias("e"))
     whole = (
         "id IS NOT NULL AND size(e) > 0 AND exists(e, x -> x <> 0) "
-        "AND forall(e, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < float('infinity'))"
+        "AND forall(e, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity'))"
     )
     return rows.filter(F.expr(whole)).groupBy("id").agg(F.min("e").alias("e"))
 
@@ -115,6 +117,8 @@ def nearest(
     spark = vectors.sparkSession
     empty = "query_id long, rank int, vec_id long, score double"
     kept = stage_table(usable(vectors, vec_id=vec_id, embedding=embedding), "op4_vectors")
+    kind = dict(kept.dtypes)["e"]
+    number = pa.float32() if kind == "array<float>" else pa.float64()
     sizes = kept.groupBy(F.size("e").alias("dim")).count().orderBy(F.desc("count"), F.desc("dim")).first()
     if sizes is None:
         return spark.createDataFrame([], empty)
@@ -138,7 +142,7 @@ def nearest(
                 [batch.column("id"), batch.column("e"), pa.array(a), pa.array(b)], ["id", "e", "a", "b"]
             )
 
-    index = stage_table(kept.mapInArrow(assign, "id long, e array<float>, a int, b int"), "op4_index")
+    index = stage_table(kept.mapInArrow(assign, f"id long, e {kind}, a int, b int"), "op4_index")
     counts = np.zeros((size, size), dtype=np.int64)
     for row in index.groupBy("a", "b").count().collect():  # at most size * size rows
         counts[row.a, row.b] = row["count"]
@@ -163,7 +167,7 @@ def nearest(
                     [
                         pa.array(list(passed), pa.int32()),
                         pa.array([own] * len(passed), pa.int64()),
-                        pa.array([m[i].astype(np.float32)] * len(passed), pa.list_(pa.float32())),
+                        pa.array([m[i].astype(number.to_pandas_dtype())] * len(passed), pa.list_(number)),
                         pa.array(list(passed.values()), pa.list_(pa.int32())),
                     ],
                     ["a", "query_id", "q", "cells"],
@@ -173,7 +177,7 @@ def nearest(
     of = F.element_at(F.array(*map(F.lit, blocks)), F.col("a") + 1)
     q_blocks = -(-n_queries // QUERY_BLOCK)
     tasks = queries.select("id", "e").repartition(max(1, min(n_queries, 12 * q_blocks)), "id")
-    tasks = tasks.mapInArrow(plan, "a int, query_id long, q array<float>, cells array<int>")
+    tasks = tasks.mapInArrow(plan, f"a int, query_id long, q {kind}, cells array<int>")
     tasks = tasks.withColumn("part", F.explode(F.sequence(F.lit(0), of - 1))).withColumn(
         "q_part", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)).cast("int")
     )

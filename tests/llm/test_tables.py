@@ -2,6 +2,7 @@
 
 import datetime as dt
 import hashlib
+import math
 import random
 from pathlib import Path
 
@@ -234,3 +235,12 @@ def test_vectors_of_one_number(spark):
         (0, 2, 2, 2.0),
         (0, 3, 3, 3.0),
     ]
+
+
+def test_vectors_of_doubles(spark):
+    """Scores are the measure on the original doubles, and numbers that no float holds take part."""
+    rows = [(0, [1.0, 1e-60]), (1, [1.0 + 1e-12, 0.0]), (2, [1e60, 1.0]), (3, [0.0, 1e-60])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = nearest(df).orderBy("rank").collect()
+    assert [(r.query_id, r.vec_id) for r in got] == [(0, 1), (0, 3), (0, 2)]
+    assert [r.score for r in got] == [math.dist(rows[0][1], rows[r.vec_id][1]) for r in got]
