@@ -135,6 +135,13 @@ class PieceModel:
                     joins[(left << _WIDTH) | right] = i
         self.keys = np.array(sorted(joins), np.int64)
         self.joined = np.array([joins[key] for key in self.keys.tolist()], np.int32)
+        # A slot for each key by its hash, the next free one where it is taken.
+        self.shift = np.uint64(64 - max(8, (8 * len(joins)).bit_length()))
+        self.slots = np.full(1 << (64 - int(self.shift)), -1, np.int32)
+        for k, slot in enumerate(self._slot(self.keys).tolist()):
+            while self.slots[slot] >= 0:
+                slot = (slot + 1) % len(self.slots)
+            self.slots[slot] = k
 
         # A bit for each two characters that stand side by side in some piece.
         letters = sorted({c for pair in sides for c in pair})
@@ -160,11 +167,25 @@ class PieceModel:
         found = normal.get(text)
         return found if found is not None else self.n + ord(text) if len(text) == 1 else None
 
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
     def pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The piece that each pair of symbols joins to, or -1."""
-        key = (left.astype(np.int64) << _WIDTH) | right
-        at = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
-        return np.where(self.keys[at] == key, self.joined[at], -1) if len(self.keys) else np.full(len(key), -1, np.int32)
+        keys = (left.astype(np.int64) << _WIDTH) | right
+        out = np.full(len(keys), -1, np.int32)
+        slot = self._slot(keys)
+        found = self.slots[slot]
+        open_ = np.flatnonzero(found >= 0)
+        while len(open_):
+            at = found[open_]
+            same = self.keys[at] == keys[open_]
+            out[open_[same]] = self.joined[at[same]]
+            open_ = open_[~same]
+            slot[open_] = (slot[open_] + 1) % len(self.slots)
+            found[open_] = self.slots[slot[open_]]
+            open_ = open_[found[open_] >= 0]
+        return out
 
     def ranks(self, joined: np.ndarray) -> np.ndarray:
         return np.where(joined >= 0, self.rank[joined], _NONE)
@@ -232,13 +253,18 @@ def merge_rounds(model: PieceModel, symbols: np.ndarray, sizes: np.ndarray) -> t
         owner = word[at]
         single = np.concatenate([[True], owner[1:] != owner[:-1]])
         if not single.all():
-            at = at[single | ~np.isin(owner, _out_of_order(model, symbols, word, made, floor, at))]
+            several = ~single | np.append(~single[1:], False)
+            early = np.zeros(len(sizes), bool)
+            early[_out_of_order(model, symbols, word, made, floor, at[several])] = True
+            at = at[single | ~early[owner]]
         symbols[at] = made[at]
         stays = np.ones(len(symbols), bool)
         stays[at + 1] = False
         word, symbols, made = word[stays], symbols[stays], made[stays]
         now = at - np.arange(len(at))
-        near = np.unique(np.concatenate([now, now[now > 0] - 1]))
+        changed = np.zeros(len(symbols), bool)
+        changed[now] = changed[np.maximum(now - 1, 0)] = True
+        near = np.flatnonzero(changed)
         made[near] = look_up(near)
     words = np.concatenate([w for w, _ in done]) if done else word
     order = np.argsort(words, kind="stable")
@@ -247,7 +273,7 @@ def merge_rounds(model: PieceModel, symbols: np.ndarray, sizes: np.ndarray) -> t
 
 
 def _out_of_order(model: PieceModel, symbols, word, made, floor, at) -> np.ndarray:
-    """The words in which some merge of this round makes a pair that would have come before the next merge."""
+    """The words (some repeatedly) in which some merge of this round makes a pair that would have come before the next merge."""
     size = len(symbols)
     new = made[at]
     # On the left stands what the round leaves there, on the right what stands there now.
@@ -260,7 +286,7 @@ def _out_of_order(model: PieceModel, symbols, word, made, floor, at) -> np.ndarr
         ((at + 2 < size) & (word[after] == word[at]), (new, symbols[after])),
     ):
         early |= beside & (model.ranks(model.pairs(*pair)) <= floor[at])
-    return np.unique(word[at[early]])
+    return word[at[early]]
 
 
 def _encode_codes(model: PieceModel, codes: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
