@@ -40,11 +40,16 @@ def drop_stage_tables(spark: SparkSession) -> bool:
     """Delete this application's stage folder (frames read from it become
     unusable). Returns whether it was there; False on a remote session, which
     has no file system to ask."""
+    return drop_path(spark, stage_root(spark))
+
+
+def drop_path(spark: SparkSession, name: str) -> bool:
+    """Delete a folder in whatever store it is; as ``drop_stage_tables``."""
     try:
         sc = spark.sparkContext
     except PySparkException:
         return False
-    path = sc._jvm.org.apache.hadoop.fs.Path(stage_root(spark))
+    path = sc._jvm.org.apache.hadoop.fs.Path(name)
     return bool(path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True))
 
 

@@ -1,12 +1,12 @@
 """Model layer: AUC, planted signal, save/load, top-N, sinks, jobs."""
 
 import pytest
-from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 
+from rebuy.boosting import BoostedModel
 from rebuy.config import FEATURE_COLUMNS
 from rebuy.operators import roc_auc
 from rebuy.plans.features import build_dataset
@@ -75,8 +75,8 @@ def test_planted_signal_is_learned(spark):
 
 def test_save_load_same_scores(spark, ds, model, tmp_path):
     path = str(tmp_path / "model")
-    model.write().overwrite().save(path)
-    loaded = PipelineModel.load(path)
+    model.save(spark, path)
+    loaded = BoostedModel.load(spark, path)
     a = predict_proba(model, ds).orderBy("customer_id", "article_id", "order_date").collect()
     b = predict_proba(loaded, ds).orderBy("customer_id", "article_id", "order_date").collect()
     assert a == b
@@ -152,25 +152,23 @@ def test_build_dataset_job_from_typed_parquet(spark, tx, tmp_path):
 
 
 def test_stop_round_waits_for_patience():
-    from rebuy.plans.model import stop_round
+    from rebuy.boosting import stop_round
 
     assert stop_round([3.0, 2.0, 2.5, 2.4], patience=2) == 4
     assert stop_round([3.0, 2.0, 1.0], patience=30) == 33
     assert stop_round([1.0, 1.0, 1.0], patience=1) == 2
 
 
-def test_early_stopping_keeps_the_prefix_up_to_the_stop(spark, tx, monkeypatch):
+def test_early_stopping_keeps_the_prefix_up_to_the_stop(spark, tx):
     from rebuy.plans import model as m
 
-    monkeypatch.setattr(m, "FIRST_ROUNDS", 4)
-    ds = build_dataset(tx)
-    stopped = m.train_model(ds, TRAIN_END, max_iter=12, patience=2)
-    whole = m.train_model(ds, TRAIN_END, max_iter=12, patience=1000)
+    ds = build_dataset(tx).orderBy("customer_id", "order_date", "article_id")
+    stopped = m.train_model(ds, TRAIN_END, max_iter=12, patience=2, rate=0.5)
+    whole = m.train_model(ds, TRAIN_END, max_iter=12, patience=None, rate=0.5)
     assert m.trained_trees(whole) == 12
     n = m.trained_trees(stopped)
-    assert 3 <= n <= 12
-    trees = lambda x: [t.toDebugString.split(chr(10), 1)[1] for t in x.stages[-1].trees]
-    assert trees(stopped) == trees(whole)[:n]
+    assert 3 <= n < 12
+    assert stopped.nodes == [node for node in whole.nodes if node[0] < n]
 
 
 def test_train_and_score_with_a_subset_of_the_features(spark, tx, tmp_path):
