@@ -157,3 +157,22 @@ def test_repeated_left_rows_without_reduction(spark):
     right = spark.createDataFrame([("a", 4, 40), ("a", 6, 60)], "g string, t long, v long")
     got = asof_join(left, right, by="g", on="t", reduce_left=False)
     assert sorted(map(tuple, got.collect())) == [("a", 5, 1, 40), ("a", 5, 1, 40), ("a", 7, 2, 60)]
+
+
+def test_equal_right_keys_have_an_order(spark):
+    import itertools
+
+    right_rows = [("a", 5, "first", 2), ("a", 5, "second", 1), ("a", 5, "second", 0), ("a", 9, "x", 3), ("a", 9, "w", 4), ("a", 9, None, 5)]
+    left = spark.createDataFrame([("a", 1), ("a", 5), ("a", 7), ("a", 9), ("a", 12)], "k string, t int")
+    by_payload = {"backward": [None, "second", "second", "x", "x"], "forward": ["first", "first", None, None, None]}
+    by_tie = {"backward": [None, "first", "first", None, None], "forward": ["second", "second", "x", "x", None]}
+    for rows in itertools.islice(itertools.permutations(right_rows), 0, 720, 120):
+        right = spark.createDataFrame(list(rows), "k string, t int, v string, seq int").repartition(3)
+        for direction in ("backward", "forward"):
+            for reduce_left in (True, False):
+                plain = asof_join(left, right.drop("seq"), by="k", on="t", direction=direction, reduce_left=reduce_left).orderBy("t")
+                assert [r.v for r in plain.collect()] == by_payload[direction]
+                tied = asof_join(left, right, by="k", on="t", direction=direction, reduce_left=reduce_left, tie="seq", bucket=4).orderBy("t")
+                assert [r.v for r in tied.collect()] == by_tie[direction]
+    with pytest.raises(ValueError, match="tie columns"):
+        asof_join(left, right, by="k", on="t", tie="nope")
