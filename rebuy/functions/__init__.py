@@ -1,6 +1,7 @@
 """Scalar column expressions (all JVM-side built-ins, no Python UDFs)."""
 
 from rebuy.functions.scalar import (
+    date_votes,
     days_between,
     first_argmax,
     parse_date,
@@ -10,6 +11,7 @@ from rebuy.functions.scalar import (
 )
 
 __all__ = [
+    "date_votes",
     "days_between",
     "first_argmax",
     "parse_date",

@@ -19,13 +19,39 @@ def _col(c: Column | str) -> Column:
 _CLOCK = r"([ T]([01]?\d|2[0-3])(:[0-5]\d){0,2}(\.\d+)?\s*(Z|[+-]\d{2}:?\d{2})?)?$"
 
 
-def parse_date(c: Column | str) -> Column:
+_NUMBERS = r"^(\d{1,2})([./-])(\d{1,2})\2(\d{4}|\d{2})"
+_MONTH = r"([A-Za-z]{3})[a-z]*\.?"
+
+
+def _year(text: Column) -> Column:
+    """Two digits are 1969 to 2068."""
+    short = F.when(text >= "69", F.concat(F.lit("19"), text)).otherwise(F.concat(F.lit("20"), text))
+    return F.when(F.length(text) == 2, short).otherwise(text)
+
+
+def _of_numbers(text: Column, day_first: bool) -> Column:
+    """``year-month-day`` of ``05/01/2024``, ``5.1.24`` and the like; null for other text."""
+    whole = _NUMBERS + _CLOCK
+    first, second = (F.regexp_extract(text, whole, i) for i in (1, 3))
+    month, day = (second, first) if day_first else (first, second)
+    return F.when(text.rlike(whole), F.concat_ws("-", _year(F.regexp_extract(text, whole, 4)), month, day))
+
+
+def date_votes(c: Column | str) -> dict[str, Column]:
+    """``day`` and ``month``: whether a text is a date if its day, or its month, comes first, and not otherwise."""
+    text = F.trim(_col(c).cast("string"))
+    day, month = (_of_numbers(text, first).try_cast("date").isNotNull() for first in (True, False))
+    return {"day": day & ~month, "month": month & ~day}
+
+
+def parse_date(c: Column | str, day_first: bool = False) -> Column:
     """Text, date or timestamp -> DATE at day precision; anything else -> null.
 
     Accepted whole, each with or without a time of day: ``2024-05-01``,
-    ``2024/05/01``, ``20240501``, ``05/01/2024`` (month first) and
-    ``May 1, 2024`` / ``1 May 2024``. Trailing text and impossible dates such
-    as ``2024-13-01`` give null.
+    ``2024/05/01``, ``20240501``; ``05/01/2024``, ``05-01-2024``, ``05.01.2024``
+    and ``5/1/24``, of which ``day_first`` says the order; ``May 1, 2024``,
+    ``1 May 2024`` and ``01-May-2024``. Trailing text and impossible dates such
+    as ``2024-13-01`` give null, as do numbers that are no date in that order.
     """
     text = F.trim(_col(c).cast("string"))
 
@@ -34,18 +60,14 @@ def parse_date(c: Column | str) -> Column:
         made = F.concat_ws("-", *(F.regexp_extract(text, whole, int(group)) for group in order))
         return F.when(text.rlike(whole), made)
 
-    days = iso(r"(\d{4})-(\d{1,2})-(\d{1,2})", "123")
-    for pattern, order in (
-        (r"(\d{4})/(\d{1,2})/(\d{1,2})", "123"),
-        (r"(\d{4})(\d{2})(\d{2})", "123"),
-        (r"(\d{1,2})/(\d{1,2})/(\d{4})", "312"),
-    ):
-        days = F.coalesce(days, iso(pattern, order))
-    named = F.regexp_replace(F.regexp_replace(text, _CLOCK, ""), r"^(\d{1,2}) ([A-Za-z]{3})[a-z]* (\d{4})$", "$2 $1 $3")
-    named = F.regexp_replace(named, r"^([A-Za-z]{3})[a-z]*\.? (\d{1,2}),? (\d{4})$", "$1 $2 $3")
+    days = F.lit(None).cast("string")
+    for pattern in (r"(\d{4})-(\d{1,2})-(\d{1,2})", r"(\d{4})/(\d{1,2})/(\d{1,2})", r"(\d{4})(\d{2})(\d{2})"):
+        days = F.coalesce(days, iso(pattern, "123"))
+    named = F.regexp_replace(F.regexp_replace(text, _CLOCK, ""), rf"^(\d{{1,2}})[ -]{_MONTH}[ -](\d{{4}})$", "$2 $1 $3")
+    named = F.regexp_replace(named, rf"^{_MONTH}[ -](\d{{1,2}}),?[ -](\d{{4}})$", "$1 $2 $3")
     is_named = named.rlike(r"^[A-Za-z]{3} \d{1,2} \d{4}$")
     month = F.try_to_timestamp(F.when(is_named, F.initcap(named)), F.lit("MMM d yyyy")).cast("date")
-    return F.coalesce(days.try_cast("date"), month)
+    return F.coalesce(days.try_cast("date"), _of_numbers(text, day_first).try_cast("date"), month)
 
 
 def parse_quantity(c: Column | str) -> Column:
