@@ -92,6 +92,25 @@ def test_recommendations_top_n(spark, tx, model):
     assert recs.select("customer_id").distinct().count() == tx.select("customer_id").distinct().count()
 
 
+def test_ordered_dataset_files(spark, tx, tmp_path):
+    import pathlib
+
+    import pyarrow.parquet as pq
+
+    from rebuy.plans import jobs
+
+    src, out = str(tmp_path / "tx"), str(tmp_path / "ordered")
+    tx.write.parquet(src)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        report = jobs.run_build_dataset(spark, src, out, fmt="parquet", ordered=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted(pathlib.Path(out).glob("part-*.parquet"))
+    keys = [tuple(r) for f in files for r in zip(*(pq.read_table(f).column(c).to_pylist() for c in jobs.OUTPUT_ORDER), strict=True)]
+    assert len(files) > 2 and len(keys) == report["rows"] and keys == sorted(keys)
+
+
 def test_feature_list_roundtrip(spark, tmp_path):
     path = str(tmp_path / "features")
     write_feature_list(spark, list(FEATURE_COLUMNS), path)
