@@ -31,3 +31,29 @@ def test_plan_has_no_python_cartesian_or_single_partition(spark, name, monkeypat
     for text in plans:
         assert not [k for k, rx in FLAGS.items() if rx.search(text)]
         assert "single_partition" not in single_partition(text)
+
+
+def test_the_pair_table_is_shuffled_three_times(spark, monkeypatch):
+    """On (customer, article) for its history, on the customer and on the article; the daily aggregate comes before."""
+    import re
+
+    from rebuy.plans import features
+
+    keys = lambda text: [re.sub(r"#\d+L?", "", k) for k in re.findall(r"Exchange hashpartitioning\(([^)]*?), \d+\)", text)]
+    staged = {}
+    stage = features.stage_table
+
+    def told(df, name):
+        staged[name] = keys(plan_text(df))
+        return stage(df, name)
+
+    monkeypatch.setattr(features, "stage_table", told)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = keys(plan_text(features.build_dataset(entry._tx(spark, SF_SMALL))))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    daily, history = "customer_id, article_id, order_date", "customer_id, article_id"
+    assert [k for k in staged["pair_history"] if k in (daily, history)] == [history, daily]  # the last one first
+    # Both sides of the two joins; none of them by day.
+    assert sorted(result) == ["article_id", "article_id", "customer_id", "customer_id"]
