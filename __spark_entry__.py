@@ -14,6 +14,7 @@ day = date(o_orderdate), quantity = l_quantity, article = p_brand.
 from __future__ import annotations
 
 import functools
+import hashlib
 import importlib
 import math
 import os
@@ -51,6 +52,7 @@ from rebuy.plans.features import assemble_features, build_dataset, stage_feature
 from rebuy.plans.model import DEFAULT_ROUNDS, evaluate_auc, prepare_train_valid, train_model, trained_trees, with_split  # noqa: E402
 from rebuy.plans.serve import generate_recommendations  # noqa: E402
 from rebuy.sources import coerce_transactions, load_table, transactions_from_tables  # noqa: E402
+from rebuy.sources.stage import stage_root  # noqa: E402
 
 C, A, D = COLS.customer_id, COLS.article_id, COLS.order_date
 
@@ -239,11 +241,18 @@ def q_auc_exact(spark, sf_dir):
     return auc.select(F.round("auc", 9).alias("auc"), "n_pos", "n_neg")
 
 
+def _model(spark, sf_dir, dataset):
+    """The model of the tables' dataset. Both queries that need it name the same state folder, so the second one
+    finds the rounds of the first there and fits none again."""
+    name = hashlib.sha256(sf_dir.encode()).hexdigest()[:16]
+    return train_model(dataset, TRAIN_END, state=f"{stage_root(spark)}/model-{name}")
+
+
 def q_model_auc(spark, sf_dir):
     """The model's validation rows by label, and what must hold of a booster that works: on the training rows it
     beats the best constant, and the logged metrics are those of the scores (native walk, exact AUC) within their bounds."""
     ds = build_dataset(_tx(spark, sf_dir))
-    model = train_model(ds, TRAIN_END)
+    model = _model(spark, sf_dir, ds)
     train, valid, _ = prepare_train_valid(ds, TRAIN_END)
     last = {(name, metric): (value, bound) for r, name, metric, value, bound in model.log if r == trained_trees(model)}
     p = train.agg(F.avg("label").alias("p")).first()["p"]
@@ -284,7 +293,7 @@ def q_recommendations(spark, sf_dir):
     """Per customer what SQL can check of the recommendations: the order, how many, and that each is a candidate with a score."""
     tx = _tx(spark, sf_dir)
     stages = stage_features(tx)
-    model = train_model(build_dataset(None, stages=stages), TRAIN_END)
+    model = _model(spark, sf_dir, build_dataset(None, stages=stages))
     made = generate_recommendations(None, model, TOP_N, stages=stages)
     known = candidates(tx).select(C, D, A, F.lit(True).alias("known"))
     scored = F.coalesce("known", F.lit(False)) & F.col("prob_rebuy").between(0, 1)
