@@ -38,7 +38,7 @@ def exact(rows, every, k):
     return found
 
 
-def test_small_tables_are_searched_whole(spark):
+def test_a_walk_over_all_entries_is_exact(spark):
     rows = vectors(1, 300) + [(1000 + i, [1.0] * 8) for i in range(40)] + [(2000, [1.0] * 8)]
     bad = [(5000, None), (5001, [0.0] * 8), (5002, [float("nan")] + [1.0] * 7), (5003, [float("inf")] + [1.0] * 7)]
     bad += [(5004, [None] + [1.0] * 7), (5005, [1.0, 2.0]), (None, [1.0] * 8), (5100, [])]
@@ -46,7 +46,7 @@ def test_small_tables_are_searched_whole(spark):
     for name in ("id", "e", "a", "b", "score"):
         df = df.withColumn(name, F.lit("x"))
     got = {}
-    for r in nearest(df, every=100).orderBy("query_id", "rank").collect():
+    for r in nearest(df, every=100, visit=1.0).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.vec_id, r.score))
     expected = exact(rows, 100, 10)
     assert got.keys() == expected.keys()
@@ -55,16 +55,29 @@ def test_small_tables_are_searched_whole(spark):
         assert np.allclose([d for _, d in got[own]], [d for _, d in found], rtol=1e-12)
 
 
-def test_recall_and_blocks(spark, monkeypatch):
-    for name, value in (("BLOCK", 16), ("QUERY_BLOCK", 8), ("LEAST_VISITED", 0)):
-        monkeypatch.setattr(multi_index, name, value)
-    rows = vectors(2, 2000, 16)
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+def recall(spark, rows, every, **more):
     got = {}
-    for r in nearest(df, every=50).collect():
+    for r in nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), every=every, **more).collect():
         got.setdefault(r.query_id, set()).add(r.vec_id)
-    expected = exact(rows, 50, 10)
-    assert sum(len(got[q] & {v for v, _ in found}) for q, found in expected.items()) >= 0.9 * 10 * len(expected)
+    expected = exact(rows, every, 10)
+    return sum(len(got[q] & {v for v, _ in found}) for q, found in expected.items()) / 10 / len(expected)
+
+
+def test_recall_and_blocks(spark, monkeypatch):
+    for name, value in (("BLOCK", 16), ("QUERY_BLOCK", 8)):
+        monkeypatch.setattr(multi_index, name, value)
+    assert recall(spark, vectors(2, 2000, 16), 50) >= 0.9
+    rnd = np.random.default_rng(3)
+    hearts = rnd.normal(size=(40, 16)) * 6
+    clustered = [(i, (hearts[i % 40] + rnd.normal(size=16)).astype(np.float32).tolist()) for i in range(2000)]
+    assert recall(spark, clustered, 50) >= 0.95
+    # A fifth of the entries is enough where vectors come in clusters.
+    assert recall(spark, clustered, 50, visit=0.2) >= 0.9
+
+
+def test_recall_on_the_given_table(spark):
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").collect()]
+    assert recall(spark, rows, 50) >= 0.95
 
 
 def test_few_and_no_vectors(spark):
