@@ -52,7 +52,7 @@ from rebuy.plans.features import assemble_features, build_dataset, stage_feature
 from rebuy.plans.model import DEFAULT_ROUNDS, evaluate_auc, prepare_train_valid, train_model, trained_trees, with_split  # noqa: E402
 from rebuy.plans.serve import generate_recommendations  # noqa: E402
 from rebuy.sources import coerce_transactions, load_table, transactions_from_tables  # noqa: E402
-from rebuy.sources.stage import stage_root  # noqa: E402
+from rebuy.sources.stage import stage_root, stage_table  # noqa: E402
 
 C, A, D = COLS.customer_id, COLS.article_id, COLS.order_date
 
@@ -251,7 +251,7 @@ def _model(spark, sf_dir, dataset):
 def q_model_auc(spark, sf_dir):
     """The model's validation rows by label, and what must hold of a booster that works: on the training rows it
     beats the best constant, and the logged metrics are those of the scores (native walk, exact AUC) within their bounds."""
-    ds = build_dataset(_tx(spark, sf_dir))
+    ds = stage_table(build_dataset(_tx(spark, sf_dir)), "model_dataset")  # read by the fit, its base rate and its AUC
     model = _model(spark, sf_dir, ds)
     train, valid, _ = prepare_train_valid(ds, TRAIN_END)
     last = {(name, metric): (value, bound) for r, name, metric, value, bound in model.log if r == trained_trees(model)}
