@@ -88,11 +88,12 @@ def test_registered_toxicity_on_held_out_labels(spark):
 
 
 def slow_model(texts, order=4):
-    """Interpolated modified Kneser-Ney over characters, straight from the counts; returns log p(text)."""
+    """Interpolated modified Kneser-Ney over symbols (characters, or a list's words), straight from the counts; returns log p(text)."""
     chars = sorted({c for t in texts for c in t})
     v = len(chars) + 2
+    padded = lambda t: ("^",) * (order - 1) + tuple(t)
     counts = [None] * (order + 1)
-    counts[order] = Counter(("^" * 3 + t)[i : i + order] for t in texts for i in range(len(t)))
+    counts[order] = Counter(padded(t)[i : i + order] for t in texts for i in range(len(t)))
     for o in range(order - 1, 0, -1):
         counts[o] = Counter(g[1:] for g in counts[o + 1])
     discounts, totals = {}, {}
@@ -118,7 +119,7 @@ def slow_model(texts, order=4):
             return min((c - discounts[1](c)) / total for c in counts[1].values()) + mass / total / v
         return own + mass / total * lower
 
-    return lambda text: sum(math.log(p(("^" * 3 + text)[i : i + 4])) for i in range(len(text)))
+    return lambda text: sum(math.log(p(padded(text)[i : i + order])) for i in range(len(text)))
 
 
 def test_model_matches_its_definition(spark, monkeypatch):
@@ -137,6 +138,26 @@ def test_model_matches_its_definition(spark, monkeypatch):
             assert got[i].logp == pytest.approx(model(t), rel=1e-4)
 
 
+def test_word_model_with_two_folds_matches_its_definition(spark, monkeypatch):
+    """What the registered query runs: word trigrams, and no trusted text judged by a model that has read it."""
+    monkeypatch.setattr(kneser_ney, "PIECE", 5)
+    rnd = random.Random(4)
+    texts = [" ".join(rnd.choice("the cat sat on a mat and ran".split()) for _ in range(rnd.randint(1, 40))) for _ in range(120)]
+    docs = spark.createDataFrame([(i, t, "xx") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    fold = {r.doc_id: r.f for r in docs.select("doc_id", F.pmod(F.xxhash64("text"), F.lit(2)).alias("f")).collect()}
+    assert set(fold.values()) == {0, 1}
+    trusted = spark.createDataFrame([(i,) for i in range(90)], "_tid long")
+    models = {k: slow_model([texts[i].split() for i in range(90) if fold[i] != k], order=3) for k in (0, 1)}
+    for rows_of_shard in (kneser_ney.SHARD_ROWS, 40):
+        monkeypatch.setattr(kneser_ney, "SHARD_ROWS", rows_of_shard)
+        found = perplexities(docs, trusted, doc_id="doc_id", text="text", lang="lang", words=True, folds=2).collect()
+        assert len(found) == 120
+        for r in found:
+            words = texts[r._id].split()
+            assert (r.n, r.pairs, r.trusted) == (len(words), len(set(zip(words, words[1:]))), r._id < 90)
+            assert r.logp == pytest.approx(models[fold[r._id]](words), rel=1e-9)
+
+
 def test_odd_rows(spark, odd):
     labels = spark.createDataFrame([(1, 1), (2, 1), (2, 0), (3, 1), (None, 1), (7, 0)], "doc_id long, quality int")
     got = classify(odd(ROWS), labels).collect()
