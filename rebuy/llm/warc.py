@@ -19,8 +19,9 @@ Equal payloads (same SHA-1 and length) of at least ``REVISIT_BYTES`` bytes:
 the record of the largest page_id is the ``response``; the others are
 ``revisit`` records, without payload, that refer to it.
 
-Defined cases: a null payload is empty; an empty one is a record with one
-empty chunk. Rows that repeat both page_id and payload are one record.
+Defined cases: a null payload is empty; an empty one is a record with Defined cases: a null payload is empty; an empty one is a record with one
+empty chunk. Rows that repeat both page_id and payload are one record, whose
+header says how many they are, and ``page_records`` gives each its row.
 Rows that share a page_id but not the payload are a record each. A null
 page_id is smaller than any other. Null URLs give records without a target
 URI. An empty table gives no archive and no rows. Other columns are ignored.
@@ -44,6 +45,8 @@ from rebuy.sources.stage import stage_root
 CHUNK_BYTES = 64 * 1024
 ARCHIVE_BYTES = 256 * 1024 * 1024
 REVISIT_BYTES = 1000
+#: Repeated rows that are counted out at once.
+RUN = 1 << 14
 
 #: Fixed by the archive format.
 VERSION = b"WARC/1.1\r\n"
@@ -52,7 +55,7 @@ HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nConten
 
 _MANIFEST = "path string, n_records long, n_bytes long"
 _READ = (
-    "record_id string, page_id long, record_type string, url string, refers_to_record string, "
+    "record_id string, page_id long, n_rows long, record_type string, url string, refers_to_record string, "
     "declared_digest string, chunk_no long, is_last boolean, payload_bytes long, payload_digest string, data binary"
 )
 
@@ -65,7 +68,7 @@ def record_id(page_id: Column, digest: Column) -> Column:
 
 
 def records(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
-    """The records to write, without payload: one row per distinct page_id and payload."""
+    """The records to write, without payload: one row per distinct page_id and payload, with the number of its rows."""
     body = F.encode(F.coalesce(pages[payload].cast("string"), F.lit("")), "UTF-8")
     meta = (
         pages.select(
@@ -75,7 +78,7 @@ def records(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", pay
             F.octet_length(body).cast("long").alias("n_bytes"),
         )
         .groupBy("page_id", "digest", "n_bytes")
-        .agg(F.min("url").alias("url"))
+        .agg(F.min("url").alias("url"), F.count("*").alias("n_rows"))
     )
     # One row per payload with copies: the hot side of the join is the other one, which AQE may split.
     copies = (
@@ -90,6 +93,7 @@ def records(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", pay
     return joined.select(
         record_id(F.col("page_id"), F.col("digest")).alias("record_id"),
         "page_id",
+        "n_rows",
         "url",
         "digest",
         "n_bytes",
@@ -103,12 +107,10 @@ def chunks(pages: DataFrame, *, page_id: str = "page_id", payload: str = "html",
     body = F.encode(F.coalesce(pages[payload].cast("string"), F.lit("")), "UTF-8")
     base = pages.select(pages[page_id].cast("long").alias("page_id"), body.alias("_body"))
     base = base.select(record_id(F.col("page_id"), F.sha1("_body")).alias("record_id"), "_body")
-    cut = F.expr(
-        f"transform(sequence(0L, (octet_length(_body) - 1L) DIV {size}L), "
-        f"i -> struct(i AS chunk_no, substring(_body, cast(i * {size}L AS int) + 1, {size}) AS data))"
-    )
-    cut = F.when(F.octet_length("_body") > 0, cut).otherwise(F.expr("array(struct(0L AS chunk_no, _body AS data))"))
-    return base.select("record_id", F.explode(cut).alias("_c")).select("record_id", "_c.*")
+    # Only numbers are exploded: a chunk is cut out of the payload when its row is made.
+    last = F.expr(f"greatest((octet_length(_body) - 1L) DIV {size}L, 0L)")
+    numbered = base.select("record_id", "_body", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("chunk_no"))
+    return numbered.select("record_id", "chunk_no", F.expr(f"substring(_body, cast(chunk_no * {size}L AS int) + 1, {size})").alias("data"))
 
 
 def _header(row: dict) -> tuple[bytes, bytes]:
@@ -124,6 +126,7 @@ def _header(row: dict) -> tuple[bytes, bytes]:
         ("WARC-Profile", REVISIT_PROFILE if revisit else None),
         ("WARC-Refers-To", f"<{row['refers_to_record']}>" if revisit else None),
         ("Page-Id", None if row["page_id"] is None else str(row["page_id"])),
+        ("Page-Rows", str(row["n_rows"]) if row["n_rows"] > 1 else None),
         ("Content-Type", "application/http; msgtype=response"),
         ("Content-Length", str(len(start) + (0 if revisit else row["n_bytes"]))),
     ]
@@ -286,6 +289,7 @@ def _parsed(path: str, piece: int, with_data: bool) -> Iterator[tuple]:
                 yield (
                     head["warc-record-id"].strip("<>"),
                     int(head["page-id"]) if "page-id" in head else None,
+                    int(head.get("page-rows", 1)),
                     head["warc-type"],
                     head.get("warc-target-uri"),
                     head["warc-refers-to"].strip("<>") if "warc-refers-to" in head else None,
@@ -303,7 +307,7 @@ def _parsed(path: str, piece: int, with_data: bool) -> Iterator[tuple]:
 
 def _reader(piece: int, with_data: bool):
     kinds = [
-        pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(),
+        pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(),
         pa.int64(), pa.bool_(), pa.int64(), pa.string(), pa.binary(),
     ]
     names = [c.split()[0] for c in _READ.split(", ")]
@@ -341,7 +345,7 @@ def read_chunks(manifest: DataFrame, *, chunk_bytes: int = CHUNK_BYTES, with_dat
 
 
 def page_records(read: DataFrame) -> DataFrame:
-    """One row per record from its last chunk; a revisit has the figures of the response that it refers to."""
+    """One row per written row of pages from its record's last chunk; a revisit has the figures of the response that it refers to."""
     last = stage_table(read.filter("is_last").drop("data", "chunk_no", "is_last"), "op6_records")
     full = last.filter("record_type = 'response'").select(
         F.col("record_id").alias("_rid"),
@@ -351,6 +355,10 @@ def page_records(read: DataFrame) -> DataFrame:
     )
     joined = last.join(full, last["refers_to_record"] == full["_rid"], "left")
     revisit = F.col("record_type") == "revisit"
+    # Rows that repeat are counted out in runs, so no array grows with their number.
+    runs = F.sequence(F.lit(0).cast("long"), F.col("n_rows") - 1, F.lit(RUN).cast("long"))
+    joined = joined.withColumn("_at", F.explode(runs))
+    joined = joined.withColumn("_row", F.explode(F.sequence(F.col("_at"), F.least(F.col("_at") + RUN, F.col("n_rows")) - 1)))
     return joined.select(
         "page_id",
         F.when(revisit, F.col("_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
