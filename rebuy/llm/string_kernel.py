@@ -15,18 +15,21 @@ those that copy one another (by a min-hash of their longer words) count once,
 against the clean documents that hold it. Words whose support can't be chance
 are witnesses (``SURE``, the likelihood ratio in nats); then, greedily, those
 that explain most toxic documents not yet explained. Witnesses are the
-positive, words of clean documents the negative examples. Their kernels to
-``LANDMARKS`` landmarks, times the inverse root of the landmarks' kernel, are
-the features of a linear machine with squared hinge loss. In ``ROUNDS`` rounds,
-the clean words that it scores highest are added as negatives. A logistic curve
-fitted on the sample's documents turns margins into scores.
+positive, words of clean documents the negative examples, and each costs as
+many documents as hold it: a clean word that looks like an insult has the
+weight of its documents, in every language. Their kernels to ``LANDMARKS``
+landmarks, times the inverse root of the landmarks' kernel, are the features of
+a linear machine with squared hinge loss. In rounds, the clean words that it
+misjudges are added as negatives, until it has seen all that it misjudges. A
+logistic curve fitted on the sample's documents turns margins into scores.
 
 *Scoring.* The decision is linear in the kernels, and a kernel is linear in the
 counts of three-letter sequences, so landmarks and weights fold into one weight
-per sequence, a table of fixed size that is broadcast. Every word of every text
-is scored once per task and the margin of a document is that of its worst word.
-Words longer than ``WIDTH`` characters are read in overlapping windows; runs of
-single letters are also read as one word.
+per sequence that a landmark holds, which are broadcast. Letters of all scripts
+count by their own code. Every word of every text is scored once per task and
+the margin of a document is that of its worst word. Words longer than ``WIDTH``
+characters are read in overlapping windows; runs of single letters and short
+neighbours (``id iot``) are also read as one word.
 
 Defined cases: null and empty texts have no word and get the score of the
 kernel's zero. Without labels of both classes, every score is the share of
@@ -51,13 +54,14 @@ from pyspark.sql import functions as F
 from rebuy.llm.common import KEY, pieces, stage_table
 
 DECAY = 0.5
-#: Distinct letters: a to z, and the others by the remainder of their code.
-LETTERS = 64
+#: Places of the table of three-letter sequences; beyond, they are looked up.
+TABLE = 1 << 22
 WIDTH = 24
+#: Letters of neighbours that are also read as one word, and of that word at least.
+SHORT, LEAST_JOINED = 3, 5
 SAMPLE = 10_000
 LANDMARKS = 192
-ROUNDS = 2
-#: Words of clean sentences in the training set, and those added a round.
+#: Words of clean sentences that training starts with, and those added a round, until none is misjudged.
 CLEAN_WORDS, HARD_WORDS = 10_000, 1_000
 #: Most witnesses, the words among which they are chosen, and the documents that one must explain beyond the others'.
 WITNESSES, SUSPECTS, LEAST_EXPLAINED = 1_000, 50_000, 2
@@ -70,13 +74,15 @@ COST = 10.0
 KEPT = 1_000_000
 
 _EDGES = ".,;:!?\"'()[]{}<>|%&$#*"
+_LETTER = (1 << 21) - 1
 _PADDED = (4, 6, 8, 10, 12, 16, 20, WIDTH)
 
 
 def words(text: str) -> set[str]:
-    """The distinct words of a text in lower case, and its runs of single letters as words."""
+    """The distinct words of a text in lower case, its runs of single letters, and neighbours of ``SHORT`` letters at most, as words."""
     parts = text.lower().split()
-    found = {p.strip(_EDGES) for p in set(parts)}
+    bare = {p: p.strip(_EDGES) for p in set(parts)}
+    found = set(bare.values())
     single = bytes([len(p) == 1 for p in parts])
     at = single.find(b"\1\1\1")
     while at >= 0:
@@ -84,17 +90,18 @@ def words(text: str) -> set[str]:
         past = past if past >= 0 else len(parts)
         found.add(" ".join(parts[at:past]))
         at = single.find(b"\1\1\1", past)
+    short = {p: b for p, b in bare.items() if 2 <= len(b) <= SHORT}
+    pairs = {(a, b) for a, b in zip(parts, parts[1:]) if a in short and b in short}
+    found.update(f"{short[a]} {short[b]}" for a, b in pairs if len(short[a]) + len(short[b]) >= LEAST_JOINED)
     return found
 
 
-def _codes(strings: list[str], width: int) -> np.ndarray:
-    """Letters as numbers from 1, everything else and the padding as 0."""
+def _letters(strings: list[str], width: int) -> np.ndarray:
+    """Letters as their code points, everything else and the padding as 0."""
     joined = "".join(s.ljust(width, "\0") for s in strings)
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
-    latin = (points >= 97) & (points <= 122)
-    other = points >= 0xAA
-    made = np.where(latin, points - 96, np.where(other, 27 + points % (LETTERS - 27), 0))
-    return made.reshape(len(strings), width)
+    letter = ((points >= 97) & (points <= 122)) | (points >= 0xAA)
+    return np.where(letter, points, 0).reshape(len(strings), width)
 
 
 def _windows(word: str) -> list[str]:
@@ -117,25 +124,77 @@ def _norms(x: np.ndarray) -> np.ndarray:
     return np.sqrt(held.sum((1, 2), dtype=np.float64))
 
 
-def _projected(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Sum over the three-letter sequences of each string of decayed weight; weights with a 0 letter must be 0."""
+class Sequences:
+    """A number for each of some sequences of three letters, of any script; 0 for all others.
+
+    ``keys`` are the sequences, sorted, 21 bits a letter. Letters that occur in
+    them get short codes. Three codes are a place in a table where that has
+    ``TABLE`` places at most, else they are looked up among the keys.
+    """
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        self.keys, self.values = keys, values
+        parts = np.stack([keys >> 42, (keys >> 21) & _LETTER, keys & _LETTER])
+        self.alphabet = np.unique(parts)
+        self.size = len(self.alphabet) + 1
+        coded = np.searchsorted(self.alphabet, parts) + 1
+        self._coded = (coded[0] * self.size + coded[1]) * self.size + coded[2]
+        self._table = None
+        if self.size**3 <= TABLE:
+            self._table = np.zeros(self.size**3, dtype=np.int32)
+            self._table[self._coded] = np.arange(len(keys)) + 1
+
+    def codes(self, x: np.ndarray) -> np.ndarray:
+        """Letters as numbers from 1; 0 where no key holds the letter."""
+        if not len(self.alphabet):
+            return np.zeros_like(x)
+        at = np.minimum(np.searchsorted(self.alphabet, x), len(self.alphabet) - 1)
+        return np.where(self.alphabet[at] == x, at + 1, 0)
+
+    def places(self, coded: np.ndarray) -> np.ndarray:
+        """The number of each key, from 1, or 0."""
+        if self._table is not None:
+            return self._table[coded]
+        at = np.minimum(np.searchsorted(self._coded, coded), len(self._coded) - 1)
+        return np.where(self._coded[at] == coded, at + 1, 0)
+
+    def __matmul__(self, other: Sequences) -> float:
+        _, mine, others = np.intersect1d(self.keys, other.keys, assume_unique=True, return_indices=True)
+        return float(self.values[mine] @ other.values[others])
+
+
+def _summed(parts: list[tuple[float, Sequences]]) -> Sequences:
+    keys, at = np.unique(np.concatenate([m.keys for _, m in parts]), return_inverse=True)
+    return Sequences(keys, np.bincount(at, np.concatenate([a * m.values for a, m in parts]), len(keys)))
+
+
+def _projected(x: np.ndarray, weights: Sequences) -> np.ndarray:
+    """Sum over the three-letter sequences of each string of decayed weight."""
     total = np.zeros(len(x))
+    values = np.concatenate([[0.0], weights.values])
+    if weights._table is not None:
+        values = values[weights._table]
+    x = weights.codes(x)
     for i in range(x.shape[1] - 2):
         for j in range(i + 1, x.shape[1] - 1):
-            pair = (x[:, i] * LETTERS + x[:, j]) * LETTERS
+            pair = (x[:, i] * weights.size + x[:, j]) * weights.size
             for k in range(j + 1, x.shape[1]):
-                total += DECAY ** (k - i + 1) * weights[pair + x[:, k]]
+                coded = pair + x[:, k]
+                total += DECAY ** (k - i + 1) * values[coded if weights._table is not None else weights.places(coded)]
     return total
 
 
-def features(string: str) -> np.ndarray:
+def features(string: str) -> Sequences:
     """The normalised decayed counts of all three-letter sequences of a string."""
-    made = np.zeros(LETTERS**3)
-    letters = [(at, int(c)) for at, c in enumerate(_codes([string], max(len(string), 1))[0]) if c]
+    made: dict[int, float] = {}
+    letters = [(at, int(c)) for at, c in enumerate(_letters([string], max(len(string), 1))[0]) if c]
     for (i, a), (_, b), (k, c) in combinations(letters, 3):
-        made[(a * LETTERS + b) * LETTERS + c] += DECAY ** (k - i + 1)
-    norm = np.sqrt((made * made).sum())
-    return made / norm if norm else made
+        key = (a << 42) | (b << 21) | c
+        made[key] = made.get(key, 0.0) + DECAY ** (k - i + 1)
+    keys = np.array(sorted(made), dtype=np.int64)
+    values = np.array([made[k] for k in keys.tolist()])
+    norm = np.sqrt((values * values).sum())
+    return Sequences(keys, values / norm if norm else values)
 
 
 def _by_width(strings: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -148,10 +207,10 @@ def _by_width(strings: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             place[1].append(window)
     for width, (places, windows) in found.items():
         for start in range(0, len(windows), 8192):
-            yield _codes(windows[start : start + 8192], width), np.array(places[start : start + 8192])
+            yield _letters(windows[start : start + 8192], width), np.array(places[start : start + 8192])
 
 
-def normalised(strings: list[str], weights: np.ndarray) -> np.ndarray:
+def normalised(strings: list[str], weights: Sequences) -> np.ndarray:
     """Of each string, the inner product of its normalised features with the weights; the largest of its windows."""
     result = np.full(len(strings), -np.inf)
     for x, at in _by_width(strings):
@@ -160,18 +219,18 @@ def normalised(strings: list[str], weights: np.ndarray) -> np.ndarray:
     return result
 
 
-def kernel(strings: list[str], landmarks: list[np.ndarray]) -> np.ndarray:
+def kernel(strings: list[str], landmarks: list[Sequences]) -> np.ndarray:
     """The normalised kernel of each string (its first window) with each landmark, given by its features."""
-    used = np.flatnonzero(np.any([m > 0 for m in landmarks], axis=0))
-    column = np.zeros(LETTERS**3, dtype=np.int64)
-    column[used] = np.arange(len(used)) + 1
-    table = np.zeros((len(used) + 1, len(landmarks)), dtype=np.float32)
-    table[1:] = np.array([m[used] for m in landmarks]).T
+    used = _summed([(1.0, m) for m in landmarks])
+    table = np.zeros((len(used.keys) + 1, len(landmarks)), dtype=np.float32)
+    for n, m in enumerate(landmarks):
+        table[np.searchsorted(used.keys, m.keys) + 1, n] = m.values
     result = np.zeros((len(strings), len(landmarks)))
     for x, at in _by_width([s[:WIDTH] for s in strings]):
         norms = np.maximum(_norms(x), 1e-30)
+        x = used.codes(x)
         for i, j, k in combinations(range(x.shape[1]), 3):
-            cells = column[(x[:, i] * LETTERS + x[:, j]) * LETTERS + x[:, k]]
+            cells = used.places((x[:, i] * used.size + x[:, j]) * used.size + x[:, k])
             hit = np.flatnonzero(cells)
             if len(hit):
                 result[at[hit]] += DECAY ** (k - i + 1) * table[cells[hit]] / norms[hit, None]
@@ -198,7 +257,7 @@ def _fitted(z: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
 class Machine:
     """Weights of the three-letter sequences, bias, and slope and shift of the logistic curve."""
 
-    def __init__(self, weights: np.ndarray, bias: float, slope: float = 1.0, shift: float = 0.0) -> None:
+    def __init__(self, weights: Sequences, bias: float, slope: float = 1.0, shift: float = 0.0) -> None:
         self.weights, self.bias, self.slope, self.shift = weights, bias, slope, shift
 
     def margins(self, strings: list[str]) -> np.ndarray:
@@ -208,21 +267,22 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -500, 500)))
 
 
-def trained(positives: list[str], gains: np.ndarray, negatives: list[str]) -> Machine:
-    """The machine of two sets of words; gains weigh the positives."""
+def trained(positives: list[str], gains: np.ndarray, negatives: list[str], losses: np.ndarray) -> Machine:
+    """The machine of two sets of words; gains and losses are the documents that a mistake on each would cost."""
     half = LANDMARKS // 2
     landmarks = [*positives[:half], *negatives[: LANDMARKS - min(half, len(positives))]]
     mapped = [features(s[:WIDTH]) for s in landmarks]
-    inner = np.array([[a @ b for b in mapped] for a in mapped])
+    inner = kernel([s[:WIDTH] for s in landmarks], mapped)
+    inner = (inner + inner.T) / 2
     values, vectors = np.linalg.eigh(inner)
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
     strings = positives + negatives
     y = np.concatenate([np.ones(len(positives)), -np.ones(len(negatives))])
-    cost = np.concatenate([gains / gains.sum() * len(negatives), np.ones(len(negatives))]) * COST / 2
+    cost = np.concatenate([gains, losses]) * COST
     w = _fitted(kernel(strings, mapped) @ root, y, cost)
     folded = root @ w[:-1]
-    return Machine(sum(a * m for a, m in zip(folded, mapped, strict=True)), float(w[-1]))
+    return Machine(_summed(list(zip(folded, mapped, strict=True))), float(w[-1]))
 
 
 def evidence(support: np.ndarray, good: np.ndarray, share: float) -> np.ndarray:
@@ -331,25 +391,33 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str, text: str, sample: i
     if not positives:
         return (groups[1] + 1) / (groups[0] + groups[1] + 2)
     good = total.filter("good > 0")
-    negatives = [r.word for r in good.orderBy(F.xxhash64("word")).limit(CLEAN_WORDS).collect()]
-    machine = trained(positives, weights, negatives)
-    for _ in range(ROUNDS):
-        hard = good.select("word").mapInArrow(_word_margins(machine), "word string, margin double")
-        most = [r.word for r in hard.orderBy(F.desc("margin"), "word").limit(HARD_WORDS).collect()]
-        known = set(negatives) | set(positives)
+    held_by = dict(zip(names, found.column("support").to_pylist(), strict=True))
+    weights = weights * np.array([held_by[w] for w in positives])
+    clean = {r.word: r.good for r in good.orderBy(F.xxhash64("word")).limit(CLEAN_WORDS).collect()}
+    negatives = list(clean)
+    machine = trained(positives, weights, negatives, np.array([clean[w] for w in negatives], dtype=float))
+    while True:
+        # The clean words on the wrong side that aren't learnt yet; those beyond HARD_WORDS have their turn in the next round.
+        hard = good.select("word", "good").mapInArrow(_misjudged(machine, set(clean)), "word string, good long, margin double")
+        most = {r.word: r.good for r in hard.orderBy(F.desc("margin"), "word").limit(HARD_WORDS).collect()}
+        if not most:
+            break
+        clean.update(most)
         # Hard words also become landmarks, before the others.
-        negatives = [w for w in most if w not in known] + negatives
-        machine = trained(positives, weights, negatives)
+        negatives = [*most, *negatives]
+        machine = trained(positives, weights, negatives, np.array([clean[w] for w in negatives], dtype=float))
     margins = held.mapInArrow(_held_margins(machine), "toxic int, margin double").toArrow()  # 2 * sample rows at most
     machine.slope, machine.shift = _logistic(margins.column("margin").to_numpy(), margins.column("toxic").to_numpy())
     return machine
 
 
-def _word_margins(machine: Machine):
+def _misjudged(machine: Machine, learnt: set[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = machine.margins(batch.column("word").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(got, pa.float64())], ["word", "margin"])
+            rest = batch.filter(pa.array([w not in learnt for w in batch.column("word").to_pylist()], pa.bool_()))
+            got = machine.margins(rest.column("word").to_pylist())
+            made = pa.RecordBatch.from_arrays([*rest.columns, pa.array(got, pa.float64())], ["word", "good", "margin"])
+            yield made.filter(pa.array(got > 0))
 
     return run
 

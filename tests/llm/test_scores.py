@@ -49,6 +49,26 @@ def test_windows_and_runs_of_letters():
     assert "i d i o t" in string_kernel.words("you I D I O T there")
 
 
+def test_letters_of_all_scripts_count_by_their_own_code(monkeypatch):
+    strings = ["идиот", "и-д.иот", "привет", "你真是笨蛋", "他真是笨-蛋", "丠睿是笨蛋", "غبي جدا", "straße", "strasse", "łódź"]
+    marks = ["идиот", "你真是笨蛋", "غبي جدا", "straße"]
+    expected = np.array([[slow_kernel(a, b) for b in marks] for a in strings])
+    for table in (string_kernel.TABLE, 0):
+        monkeypatch.setattr(string_kernel, "TABLE", table)
+        mapped = [features(m) for m in marks]
+        assert np.allclose(kernel(strings, mapped), expected, atol=1e-5)
+        assert np.allclose(np.column_stack([normalised(strings, m) for m in mapped]), expected, atol=1e-5)
+    # No string of other letters is like another, whatever the letters' codes.
+    other = "".join(chr(ord(c) + 37) for c in "你真是笨蛋")
+    assert normalised([other], features("你真是笨蛋"))[0] == 0
+
+
+def test_short_neighbours_are_read_as_one_word():
+    assert {"id iot", "you id"} <= string_kernel.words("You ID iot!")
+    assert normalised(["id iot"], features("idiot"))[0] > 0.5
+    assert string_kernel.words("a longer neighbour") == {"a", "longer", "neighbour"}
+
+
 def test_toxicity_of_held_out_and_disguised_words(spark, odd):
     rnd = random.Random(3)
     plain = ["".join(rnd.choice("aeioustrnl") for _ in range(rnd.randint(3, 9))) for _ in range(900)]
@@ -61,7 +81,7 @@ def test_toxicity_of_held_out_and_disguised_words(spark, odd):
         rows.append((i, " ".join(text), "en", "a", 1))
         labels.append((i, int(i % 5 == 0)))
     calm = " ".join(plain[:30])
-    tests = [(9000, f"{calm} i-d-i-o-t {calm}"), (9001, f"{calm} mor.on"), (9002, f"{calm} p a t h e t i c"), (9003, calm), (9004, "")]
+    tests = [(9000, f"{calm} i-d-i-o-t {calm}"), (9001, f"{calm} mor.on"), (9002, f"{calm} p a t h e t i c"), (9003, calm), (9004, ""), (9005, f"{calm} id iot {calm}")]
     docs = odd(rows + [(i, t, "en", "a", 1) for i, t in tests] + ROWS)
     learnt = toxic_labels(spark.createDataFrame(labels + [(None, 1), (9003, None), (9004, 7)], "doc_id long, toxic int"))
     got = toxicity(docs, learnt.filter("_lid % 7 <> 0"))
@@ -69,7 +89,7 @@ def test_toxicity_of_held_out_and_disguised_words(spark, odd):
     score = {r._id: r.score for r in got.collect()}
     held = [(i, y) for i, y in labels if i % 7 == 0]
     assert all((score[i] >= 0.5) == bool(y) for i, y in held)
-    assert min(score[i] for i in (9000, 9001, 9002)) >= 0.5
+    assert min(score[i] for i in (9000, 9001, 9002, 9005)) >= 0.5
     assert max(score[i] for i in (9003, 9004, 3, 4, 5, 7)) < 0.5
     assert all(0 <= s <= 1 for s in score.values())
 
@@ -87,6 +107,17 @@ def test_registered_toxicity_on_held_out_labels(spark):
     assert sum(english_or_not) >= 0.95 * len(english_or_not)
 
 
+def test_clean_texts_of_every_language_are_left_alone(spark):
+    """Held-out rows of the largest given table, by language: the smaller ones hold clean words that look like insults."""
+    large = "/root/testdata/sf0.1"
+    told = spark.read.parquet(f"{large}/labels.parquet").join(spark.read.parquet(f"{large}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    rows = op1_subsequence_kernel(spark, large).filter("held_out").join(told, "doc_id").select("lang", "toxic", "predicted").collect()
+    for lang in ("en", "de", "fr", "es"):
+        clean = [r.predicted for r in rows if r.lang == lang and r.toxic == 0]
+        toxic = [r.predicted for r in rows if r.lang == lang and r.toxic == 1]
+        assert sum(clean) <= 0.04 * len(clean) and sum(toxic) >= 0.8 * len(toxic), lang
+
+
 def slow_model(texts, order=4):
     """Interpolated modified Kneser-Ney over symbols (characters, or a list's words), straight from the counts; returns log p(text)."""
     chars = sorted({c for t in texts for c in t})
