@@ -4,26 +4,38 @@ AUC = sum over distinct scores s of pos(s) * (neg_below(s) + neg(s) / 2) / (P *
 which gives tied scores half credit (the rank-average rule).
 
 ``neg_below`` is a prefix sum in score order. Instead of a single-partition
-window over all distinct scores, the scores are range-partitioned into slices
-of about ``SLICE`` distinct scores, as many as the data need: each partition
-takes a prefix sum over its own slice, and one small table of per-partition
-totals (one row per slice) supplies the offset of everything in earlier ones.
-
-The range-partitioned table, with its partition id as a column, is written
-once as a stage table: both readers (the totals and the local prefix sums)
-must see the same partition ids, and two separately planned range exchanges
-could sample different bounds.
+window over all distinct scores, the scores are cut into slices of about
+``SLICE`` distinct scores, as many as the data need up to ``MOST_SLICES``
+(beyond, slices grow and their sorts spill): each slice takes a prefix sum of
+its own, and one small table of per-slice totals (one row per slice) supplies
+the offset of everything in earlier ones.
+
+The bounds are quantiles of the distinct scores. Any bounds give the same
+result, as a slice is a range of scores; good ones give slices of like size.
+The distinct scores are written once as a stage table, for the bounds, the
+totals and the prefix sums, and shuffled once more, by slice.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rebuy.sources.stage import stage_table
 
 #: Distinct scores of a slice: what one task sorts.
 SLICE = 200_000
+MOST_SLICES = 4_096
+
+
+def _slice_of(score: Column, bounds: list[float]) -> Column:
+    """How many bounds lie below the score, looked up in two steps."""
+    step = max(1, int(len(bounds) ** 0.5))
+    whole = F.lit(bounds[step - 1 :: step]).cast("array<double>")
+    every = F.lit(bounds).cast("array<double>")
+    below = lambda of: F.size(F.filter(of, lambda b: b < score))
+    first = below(whole) * step
+    return first + below(F.slice(every, first + 1, step))
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score", partitions: int | None = None) -> DataFrame:
@@ -32,12 +44,13 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", partition
     per_score = df.where(F.col(score).isNotNull()).groupBy(score).agg(
         F.count_if(pos).alias("pos"), F.count_if(~pos).alias("neg")
     )
-    distinct = Observation("auc_scores")
-    per_score = stage_table(per_score.observe(distinct, F.count(F.lit(1)).alias("n")), "auc_distinct")
-    n_parts = partitions or max(2, -(-distinct.get["n"] // SLICE))
-    ranged = stage_table(
-        per_score.repartitionByRange(n_parts, score).withColumn("_pid", F.spark_partition_id()), "auc_scores"
-    )
+    per_score = stage_table(per_score, "auc_scores")
+    in_order = F.col(score).cast("double")
+    n = per_score.count()
+    slices = min(partitions or max(2, -(-n // SLICE)), MOST_SLICES)
+    shares = [i / slices for i in range(1, slices)] or [1.0]
+    found = per_score.agg(F.percentile_approx(in_order, shares, 20 * slices).alias("bounds")).first()["bounds"]
+    ranged = per_score.withColumn("_pid", _slice_of(in_order, sorted(set(found or [0.0]))))
 
     totals = ranged.groupBy("_pid").agg(F.sum("neg").alias("part_neg"))
     offsets = totals.select(

@@ -57,6 +57,20 @@ def test_roc_auc_equals_evaluator(spark, ds):
     assert mine == pytest.approx(ev, abs=1e-12)
 
 
+@pytest.mark.parametrize("spread,slices", [(3, 50), (400, 7), (10**9, 100), (10**9, 1), (400, None)])
+def test_roc_auc_by_slices_equals_all_pairs(spark, spread, slices):
+    """Any slices give the pairs' share: more slices than scores, ties over bounds, null scores, one slice."""
+    import random
+
+    r = random.Random(spread)
+    rows = [(r.randint(0, 1), None if i % 17 == 0 else r.randint(-spread, spread) / 7) for i in range(600)]
+    got = roc_auc(spark.createDataFrame(rows, "label int, score double"), "label", "score", partitions=slices).first()
+    pos, neg = ([s for y, s in rows if y == label and s is not None] for label in (1, 0))
+    pairs = sum((p > q) + 0.5 * (p == q) for p in pos for q in neg)
+    assert (got.n_pos, got.n_neg) == (len(pos), len(neg))
+    assert got.auc == pytest.approx(pairs / len(pos) / len(neg), rel=1e-12)
+
+
 def test_roc_auc_ties_get_half_credit(spark):
     df = spark.createDataFrame([(1, 0.5), (0, 0.5), (1, 0.9), (0, 0.1)], "label int, score double")
     assert roc_auc(df, "label", "score", partitions=3).first()["auc"] == pytest.approx((1 + 0.5 + 1 + 1) / 4)
