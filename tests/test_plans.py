@@ -4,6 +4,7 @@ all stage tables that a query writes on its way are audited like its result's,
 those of the model queries too."""
 
 import os
+import re
 import sys
 
 import pytest
@@ -12,6 +13,7 @@ from conftest import ROOT, SF_SMALL
 
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 import __spark_entry__ as entry  # noqa: E402
+from rebuy.operators import asof_join  # noqa: E402
 from plan_report import FLAGS, plan_text, single_partition  # noqa: E402
 
 from pyspark.sql import DataFrameWriter  # noqa: E402
@@ -57,3 +59,21 @@ def test_the_pair_table_is_shuffled_three_times(spark, monkeypatch):
     assert [k for k in staged["pair_history"] if k in (daily, history)] == [history, daily]  # the last one first
     # Both sides of the two joins; none of them by day.
     assert sorted(result) == ["article_id", "article_id", "customer_id", "customer_id"]
+
+
+@pytest.mark.parametrize("direction", ["forward", "nearest"])
+def test_asof_windows_go_over_a_group_once(spark, direction):
+    """No frame that ends at the group's end: Spark goes through those once per row."""
+    left = spark.createDataFrame([("a", 3), ("a", 5)], "k string, t int")
+    right = spark.createDataFrame([("a", 1, "x"), ("a", 4, "y"), ("a", 4, "z"), ("a", 9, None)], "k string, t int, v string")
+    for reduce_left in (True, False):
+        out = asof_join(left, right, by="k", on="t", direction=direction, bucket=100, reduce_left=reduce_left)
+        frames = re.findall(r"specifiedwindowframe\(RowFrame, (\S+), (\S+?)\)", out._jdf.queryExecution().optimizedPlan().toString())
+        assert frames and ("currentrow$()", "unboundedfollowing$()") not in frames
+        assert [(r.t, r.v) for r in out.orderBy("t").collect()] == ([(3, "y"), (5, None)] if direction == "forward" else [(3, "y"), (5, "z")])
+
+
+@pytest.mark.parametrize("name", ["asof_backward_pair", "asof_nearest", "asof_forward"])
+def test_asof_queries_join_the_tables_once(spark, name):
+    plan = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "o_custkey" not in plan
