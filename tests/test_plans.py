@@ -77,3 +77,11 @@ def test_asof_windows_go_over_a_group_once(spark, direction):
 def test_asof_queries_join_the_tables_once(spark, name):
     plan = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "l_orderkey" not in plan and "o_custkey" not in plan
+
+
+def test_the_first_tree_builds_its_rows_once(spark, monkeypatch):
+    seen, fit = [], entry.fit
+    monkeypatch.setattr(entry, "fit", lambda rows, *a: seen.append(rows) or fit(rows, *a))
+    entry.queries()["boost_first_tree"](spark, SF_SMALL)
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Generate" not in plan
