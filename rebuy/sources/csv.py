@@ -7,6 +7,7 @@ in when the first action on the result finishes, no extra job).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -82,6 +83,10 @@ def coerce_transactions(raw: DataFrame, observation: Observation | None = None,
             F.count_if("_month").alias("rows_month_first_only"),
             F.lit(day_first).alias("day_first"),
         )
+    else:
+        # A filter right on the parsed columns would be pushed below them and parse every text again, in each place that
+        # names it; it stays above a node that counts.
+        typed = typed.observe(f"coerced_{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows_in"))
     return typed.drop("_day", "_month").dropna(subset=[COLS.customer_id, COLS.article_id, COLS.order_date])
 
 

@@ -14,6 +14,7 @@ from conftest import ROOT, SF_SMALL
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 import __spark_entry__ as entry  # noqa: E402
 from rebuy.operators import asof_join  # noqa: E402
+from rebuy.sources import coerce_transactions  # noqa: E402
 from plan_report import FLAGS, plan_text, single_partition  # noqa: E402
 
 from pyspark.sql import DataFrameWriter  # noqa: E402
@@ -85,3 +86,12 @@ def test_the_first_tree_builds_its_rows_once(spark, monkeypatch):
     entry.queries()["boost_first_tree"](spark, SF_SMALL)
     plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "Generate" not in plan
+
+
+def test_each_text_is_parsed_once(spark):
+    raw = spark.range(3).selectExpr("CAST(id AS STRING) customer_id", "'a' article_id", "concat('2024-05-0', id) order_date", "'1' quantity")
+    out = coerce_transactions(raw, day_first=False)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert filters and not any("RLIKE" in line for line in filters)
+    assert plan.count("MMM d yyyy") == 1 and out.count() == 2
