@@ -95,3 +95,28 @@ def test_each_text_is_parsed_once(spark):
     filters = [line for line in plan.splitlines() if "Filter" in line]
     assert filters and not any("RLIKE" in line for line in filters)
     assert plan.count("MMM d yyyy") == 1 and out.count() == 2
+
+
+@pytest.mark.parametrize("name", ["features", "dataset"])
+def test_candidates_are_built_by_compiled_code(spark, name):
+    """A lambda is interpreted, and the rows around it are copied with the arrays that it reads."""
+    assert "lambdafunction" not in plan_text(entry.QUERIES[name](spark, SF_SMALL))
+
+
+def test_static_attributes_are_counted_before_the_percentile(spark):
+    """Many pairs with few gaps: the percentile of an article gets a row per distinct gap and month, not one per pair."""
+    import datetime as dt
+
+    from rebuy.operators.articles import article_static_from_pairs
+    from rebuy.operators.interactions import daily_lines, pair_history
+
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(n)
+    rows = [(f"c{c}", "a", day(d), 1) for c in range(40) for d in (0, 10, 10, 40)]
+    rows += [("c1", "b", day(40), 1), ("c1", "b", day(5), 1), ("c2", "once", day(70), 2)]
+    tx = spark.createDataFrame(rows, "customer_id string, article_id string, order_date date, quantity bigint")
+    static = article_static_from_pairs(pair_history(daily_lines(tx)))
+    found = {r["article_id"]: (r["article_median_repurchase_days"], r["article_peak_month"]) for r in static.collect()}
+    # Gaps of a: 0, 10 and 30, 40 times each; a tie of b's months goes to the first in date order.
+    assert found == {"a": (10.0, 1), "b": (35.0, 1), "once": (None, 3)}
+    text = plan_text(static)
+    assert re.search(r"Aggregate\(keys=\[article_id#\d+, by_month#\d+, value#\d+\]", text)
