@@ -5,25 +5,33 @@ document is given its perplexity under the model of its language, and documents
 above a quantile of that language's trusted documents are rejected. A symbol is
 a run of letters and digits, or any other visible character by itself, as is
 each character of a script that writes without blanks. There is no list of
-known symbols: a gram is a 64-bit hash of its class, order and symbols, and the
-table grows with the trusted text. (``perplexities`` does the same for single
-characters when ``words`` isn't set.)
-
-*Counting.* Tasks count the n-grams of their trusted documents and Spark sums
-the counts; all trusted rows take part. *Smoothing.* Lower orders count the
-distinct symbols before a gram (continuation counts); the three discounts of
-each order and class come from its counts of counts. Counts meet the totals of
-their contexts, and the probabilities of their endings, in joins on the gram.
-
-*Scoring.* The log-probability of a text is a sum of one number per gram. With
-P the interpolated probability of a seen gram and w the weight that its context
-leaves to the next lower order, every symbol adds ``log P1``, every order above
-adds ``log w`` where the context is known, and ``log P - log w - log P_lower``
-where the gram is. So the model is a table of (gram, value as a gram, weight as
-a context), documents are tables of (gram, document, counts), and one join and
-one sum by document give the scores. No part of the model or the documents
-passes through the driver. A frequent gram is a row per document at most, in a
-join that Spark splits by size.
+known symbols: a symbol is a 64-bit hash, and the model grows with the trusted
+text. (``perplexities`` does the same for single characters when ``words``
+isn't set.)
+
+*Layout.* Symbols are dealt to units of about ``UNIT_ROWS`` occurrences by
+their hash; a symbol with more has units of its own, dealt by its neighbour. A
+task sends the grams of its documents to their units packed: a row per unit,
+with short codes for the most frequent symbols and whole hashes for all others.
+
+*Counting.* The counts of all orders of a gram meet in the unit of its last
+symbol: occurrences for the highest order, below it the distinct symbols before
+(continuation counts). There each gram of the highest order gets them and is
+sent on to the unit of its last symbol but one, with which every context ends.
+That is the model; only it is kept on disk. Counts of counts and, for the
+symbols with several units, sums per class come to the driver: their number is
+bounded by the languages and ``CODES``. The three discounts of each order and
+class follow from them.
+
+*Scoring.* The grams of all documents are sent to the units of their contexts,
+and each symbol to its own unit. A unit has all contexts and the grams that
+follow them, so it makes the probabilities from the counts of its part of the
+model and sums their logarithms by document: a symbol adds ``log P1`` in its own
+unit, and in that of its context what the highest known order and the weights of
+the orders above differ from it. The units go in up to ``SLICES`` passes over
+the documents, each of which frees its shuffle files, so that the disk holds the
+model and an eighth of the grams. No part of the model or the documents passes
+through the driver, and no frequent symbol or gram is one task's alone.
 
 *Held out.* A document mustn't be judged by a model that has read it: nearly
 all its grams would be known. So each language has ``FOLDS`` models; a trusted
@@ -52,12 +60,14 @@ columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import lru_cache, reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rebuy.llm.common import KEY, pieces, stage_table
@@ -70,41 +80,30 @@ MIDDLE, UPPER, MARGIN = 0.5, 0.99, 0.0
 LOWER = 0.005
 #: The class of rare and null languages.
 POOLED = "*"
-#: Symbols of a text that are handled at once.
+#: Characters of a text that are handled at once.
 PIECE = 1 << 20
 #: Gram rows that a task holds before it sends them on.
 SHARD_ROWS = 1_000_000
+#: Symbols of all documents that a unit has, about.
+UNIT_ROWS = 2_000_000
+#: Passes over the units, of all documents and of the trusted ones.
+SLICES, TRAIN_SLICES = 8, 2
+#: Symbols with a short code. They decide costs only.
+CODES = 1 << 15
+#: Bits of the first sieve of trusted ids. They decide costs only.
+SIEVE_BITS = 1 << 23
 
 _START = np.uint64(0x9E3779B97F4A7C15)
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)
 _SHIFT = np.uint64(32)
 _LONE = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]|[^\p{L}\p{M}\p{N}\p{Z}\s]"
-
-
-def _word_hashes(body: Column) -> Column:
-    """The symbols of a text, hashed."""
-    parted = F.split(F.regexp_replace(body, _LONE, " $0 "), r"[\s\p{Z}]+")
-    return F.transform(F.filter(parted, lambda w: w != ""), lambda w: F.xxhash64(w))
-
-
-def _code_points(text: str | None) -> np.ndarray:
-    return np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-
-
-def _symbols(batch: pa.RecordBatch, words: bool) -> Iterator[np.ndarray]:
-    """The symbols of each text as 64-bit numbers."""
-    column = batch.column("_text")
-    if not words:
-        yield from (_code_points(text) for text in column.to_pylist())
-        return
-    flat = column.values.to_numpy(zero_copy_only=False).view(np.uint64)
-    ends = column.offsets.to_numpy()
-    for i in range(batch.num_rows):
-        yield flat[ends[i] : ends[i + 1]] if column[i].is_valid else flat[:0]
-
-
-def _class_seed(name: str) -> np.uint64:
-    return np.uint64(int.from_bytes(hashlib.blake2b(name.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little"))
+#: Kinds of characters.
+_BLANK, _LETTER, _ALONE = 0, 1, 2
+#: Kinds of rows between the steps.
+_GRAMS, _SYMBOLS, _MODEL, _ONES, _STATS, _HOT_ONES, _HOT_CONTEXTS = range(7)
+_CODE_POINTS = 0x110000
+#: The code of a symbol that has none.
+_NO_CODE = 0xFFFF
 
 
 def _mixed(held: np.ndarray, more: np.ndarray) -> np.ndarray:
@@ -114,149 +113,542 @@ def _mixed(held: np.ndarray, more: np.ndarray) -> np.ndarray:
     return grown ^ (grown >> _SHIFT)
 
 
-def _grams(symbols: np.ndarray, seed: np.uint64, order: int) -> Iterator[list[np.ndarray]]:
-    """In pieces, the grams of each order by their ends: the place before the piece's first symbol, and each symbol.
+def _key(seed: np.ndarray, symbols: list[np.ndarray]) -> np.ndarray:
+    """The hash of a gram of a class."""
+    held = seed + np.uint64(len(symbols))
+    for symbol in symbols:
+        held = _mixed(held, symbol)
+    return held
 
-    The highest order has none that ends before the first symbol.
-    """
-    padded = np.concatenate([np.full(order - 1, _START), symbols])
-    for at in range(0, len(symbols), PIECE):
-        part = padded[at : at + PIECE + order - 1]
-        found = []
-        for o in range(1, order + 1):
-            ends = len(part) - (order - 1) + (o < order)
-            first = len(part) - ends - o + 1
-            held = np.full(ends, seed + np.uint64(o))
-            for i in range(o):
-                held = _mixed(held, part[first + i : first + i + ends])
-            found.append(held.view(np.int64))
-        yield found
-
-
-def _level_columns(order: int) -> list[str]:
-    """A gram, its endings (``g3, g2, g1``) and the contexts of all but the last (``x2, x1``)."""
-    return [*(f"g{o}" for o in range(order, 0, -1)), *(f"x{o}" for o in range(order - 1, 0, -1))]
-
-
-def _count_grams(words: bool, order: int):
-    names = ["cls", *_level_columns(order), "c"]
-
-    def summed(name: str, waiting: list[np.ndarray]) -> pa.RecordBatch:
-        rows = np.concatenate(waiting, axis=1)
-        _, at, counts = np.unique(rows[0], return_index=True, return_counts=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([name] * len(at), pa.string()), *(pa.array(r[at]) for r in rows), pa.array(counts.astype(np.int64))], names
-        )
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: dict[str, list[np.ndarray]] = {}
-        size: dict[str, int] = {}
-        for batch in pieces(batches):
-            for name, symbols in zip(batch.column("_learns").to_pylist(), _symbols(batch, words), strict=True):
-                for found in _grams(symbols, _class_seed(name), order):
-                    ends = [found[-1], *(g[1:] for g in found[-2::-1]), *(g[:-1] for g in found[-2::-1])]
-                    waiting.setdefault(name, []).append(np.stack(ends))
-                    size[name] = size.get(name, 0) + len(found[-1])
-                if size.get(name, 0) > SHARD_ROWS:
-                    yield summed(name, waiting.pop(name))
-                    size[name] = 0
-        for name, parts in waiting.items():
-            yield summed(name, parts)
+def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the wanted among sorted keys, and whether they are there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
 
-    return count, "cls string, " + ", ".join(f"{c} long" for c in names[1:])
+_KINDS: list[np.ndarray] = []
 
 
-def _document_grams(words: bool, order: int):
-    """``g, _doc, p, x``: how often a gram ends at a symbol of the document, and how often it is the context of one."""
+def _kinds(spark: SparkSession) -> np.ndarray:
+    """The kind of every character, told by the regular expressions of Spark."""
+    if not _KINDS:
+        # A letter before it, since a decoder drops a mark of byte order that comes first.
+        text = lambda c: F.decode(F.unhex(F.concat(F.lit("00000061"), F.lpad(F.hex(c), 8, "0"))), "UTF-32")
+        told = lambda c: (
+            F.when(c.between(0xD800, 0xDFFF), _ALONE)
+            .when(text(c).rlike(r"^a[\s\p{Z}]"), _BLANK)
+            .when(text(c).rlike(f"^a(?:{_LONE})"), _ALONE)
+            .otherwise(_LETTER)
+        )
+        block = F.col("id") * 256
+        rows = spark.range(_CODE_POINTS // 256).select("id", F.transform(F.sequence(block, block + 255), told).alias("kinds")).collect()
+        _KINDS.append(np.array([r.kinds for r in sorted(rows, key=lambda r: r.id)], np.uint8).ravel())
+    return _KINDS[0]
+
+
+@lru_cache(1)
+def _letter_values() -> np.ndarray:
+    return _mixed(np.arange(_CODE_POINTS, dtype=np.uint64), _START)
+
+
+def _symbols(texts: list[str], kinds: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of the texts as 64-bit numbers, and how many each text has; characters where there are no kinds."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    joined = np.frombuffer(("" if kinds is None else "\n").join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    if kinds is None:
+        return joined.astype(np.uint64), sizes
+    seen = np.flatnonzero(kinds[joined])
+    if not len(seen):
+        return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
+    alone = kinds[joined[seen]] == _ALONE
+    new = np.ones(len(seen), bool)
+    new[1:] = alone[1:] | alone[:-1] | (seen[1:] != seen[:-1] + 1)
+    starts = np.flatnonzero(new)
+    lengths = np.diff(np.append(starts, len(seen)))
+    place = np.arange(len(seen)) - np.repeat(starts, lengths)
+    powers = np.cumprod(np.full(lengths.max(), _FACTOR))
+    sums = np.add.reduceat(_letter_values()[joined[seen]] * powers[place], starts)
+    begins = np.cumsum(sizes + 1) - sizes - 1
+    of = np.searchsorted(begins, seen[starts], "right") - 1
+    return _mixed(sums, lengths.astype(np.uint64)), np.bincount(of, minlength=len(texts))
+
+
+def _cut(text: str, most: int) -> Iterator[str]:
+    """A long text in pieces that end before a blank."""
+    at = 0
+    while len(text) - at > most and (end := text.find(" ", at + most)) >= 0:
+        yield text[at:end]
+        at = end
+    yield text[at:]
+
+
+def _runs(batch: pa.RecordBatch, kinds: np.ndarray | None, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """By rows whose texts are short together, or one long: the first of them, their symbols and the symbols of each."""
+    texts = [t or "" for t in batch.column("_text").to_pylist()]
+    at = 0
+    while at < len(texts):
+        to, size = at + 1, len(texts[at])
+        while to < len(texts) and size + len(texts[to]) <= most:
+            size += len(texts[to])
+            to += 1
+        if size > most and kinds is not None:
+            flat = np.concatenate([_symbols([part], kinds)[0] for part in _cut(texts[at], most)])
+            yield at, flat, np.array([len(flat)])
+        else:
+            yield at, *_symbols(texts[at:to], kinds)
+        at = to
+
+
+def _windows(flat: np.ndarray, counts: np.ndarray, order: int) -> list[np.ndarray]:
+    """The symbols of the gram that ends at each symbol, first to last."""
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
+    columns = []
+    for back in range(order - 1, 0, -1):
+        column = np.full(len(flat), _START)
+        column[back:] = np.where(place[back:] >= back, flat[:-back], _START)
+        columns.append(column)
+    return [*columns, flat]
+
+
+class _Layout(NamedTuple):
+    """Which unit has a symbol, and the codes of symbols."""
+
+    #: Symbols with a code, by code and sorted with their codes.
+    coded: np.ndarray
+    sorted: np.ndarray
+    codes: np.ndarray
+    #: Units of all other symbols; symbols with several units, sorted, their first units and how many they have.
+    cold: int
+    hot: np.ndarray
+    first: np.ndarray
+    parts: np.ndarray
+
+    def units(self, symbol: np.ndarray, neighbour: np.ndarray) -> np.ndarray:
+        unit = ((_mixed(_START, symbol) >> _SHIFT) * np.uint64(self.cold) >> _SHIFT).astype(np.int64)
+        at, hot = _found(self.hot, symbol)
+        if hot.any():
+            part = (_mixed(_START, neighbour[hot]) >> _SHIFT).astype(np.int64) % self.parts[at[hot]]
+            unit[hot] = self.first[at[hot]] + part
+        return unit
+
+    def is_hot(self, symbol: np.ndarray) -> np.ndarray:
+        return _found(self.hot, symbol)[1]
+
+
+def _least(a: np.ndarray) -> np.ndarray:
+    """In the smallest type that has its numbers."""
+    return a.astype(np.min_scalar_type(int(a.max()) if len(a) else 0))
+
+
+def _bytes(arrays: list[np.ndarray]) -> bytes:
+    """Arrays of unsigned numbers, compressed, bytes of the same weight together."""
+    head = np.array([len(arrays), *(x for a in arrays for x in (a.itemsize, len(a)))], np.int64).tobytes()
+    body = b"".join([head, *(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes() for a in arrays)])
+    return len(body).to_bytes(8, "little") + pa.compress(body, codec="zstd", asbytes=True)
+
+
+def _arrays(blob: bytes) -> list[np.ndarray]:
+    body = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
+    n = int(np.frombuffer(body, np.int64, 1)[0])
+    head, at, found = np.frombuffer(body, np.int64, 2 * n, 8), 8 + 16 * n, []
+    for width, size in zip(head[::2].tolist(), head[1::2].tolist(), strict=True):
+        planes = np.frombuffer(body, np.uint8, width * size, at).reshape(width, size)
+        found.append(np.ascontiguousarray(planes.T).view(f"<u{width}").ravel())
+        at += width * size
+    return found
+
+
+def _parcels(
+    layout: _Layout, unit: np.ndarray, near: list[np.ndarray], who: np.ndarray, names: list[np.ndarray], symbols: list[np.ndarray], more: list[np.ndarray]
+) -> Iterator[tuple[int, bytes]]:
+    """Rows by unit, packed: ``names`` of those that ``who`` points to, symbols and further numbers of each row."""
+    order = np.lexsort((*near, unit))
+    unit = unit[order]
+    bounds = np.concatenate([[0], np.flatnonzero(unit[1:] != unit[:-1]) + 1, [len(unit)]]) if len(unit) else [0]
+    for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+        rows = order[lo:hi]
+        present, own = np.unique(who[rows], return_inverse=True)
+        arrays = [_least(own), *(name[present] for name in names)]
+        for column in symbols:
+            at, known = _found(layout.sorted, column[rows])
+            arrays += [np.where(known, layout.codes[at] if len(layout.codes) else 0, _NO_CODE).astype(np.uint16), column[rows][~known]]
+        yield int(unit[lo]), _bytes([*arrays, *(_least(m[rows]) for m in more)])
+
+
+def _opened(layout: _Layout, blob: bytes, names: int, symbols: int) -> tuple[np.ndarray, list, list, list]:
+    who, *rest = _arrays(blob)
+    columns = []
+    for code, whole in zip(rest[names : names + 2 * symbols : 2], rest[names + 1 : names + 2 * symbols : 2], strict=True):
+        column = np.empty(len(code), np.uint64)
+        known = code != _NO_CODE
+        column[known] = layout.coded[code[known]] if known.any() else 0
+        column[~known] = whole
+        columns.append(column)
+    return who.astype(np.int64), rest[:names], columns, rest[names + 2 * symbols :]
+
+
+_SENT = "unit int, kind int, blob binary"
+
+
+def _sent(kind: int, parcels: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+    for unit, blob in parcels:
+        yield pa.RecordBatch.from_arrays([pa.array([unit], pa.int32()), pa.array([kind], pa.int32()), pa.array([blob], pa.binary())], ["unit", "kind", "blob"])
+
+
+def _survey(kinds: np.ndarray | None, most: int, codes: int):
+    """``_doc, n, pairs`` of each document, and ``w, c``, the frequent symbols of the task, in a row without a document."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["_doc", "n", "pairs", "w", "c"]
+        longs = pa.list_(pa.int64())
+        held, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+        for batch in pieces(batches):
+            for at, flat, n in _runs(batch, kinds, most):
+                of = np.repeat(np.arange(len(n)), n)
+                pairs = np.zeros(len(n), np.int64)
+                if kinds is not None:
+                    a, b = flat[:-1], flat[1:]
+                    turned = (a << np.uint64(1)) ^ (a >> np.uint64(63)) ^ b
+                    alike = of[1:] == of[:-1]
+                    _, first = np.unique(_mixed(turned[alike], of[1:][alike].astype(np.uint64)), return_index=True)
+                    pairs = np.bincount(of[1:][alike][first], minlength=len(n))
+                size = len(n)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("_doc").slice(at, size), pa.array(n, pa.int64()), pa.array(pairs, pa.int64()), pa.nulls(size, longs), pa.nulls(size, longs)], names
+                )
+                w, c = np.unique(flat, return_counts=True)
+                both, back = np.unique(np.concatenate([held, w]), return_inverse=True)
+                summed = np.bincount(back, np.concatenate([counts, c]), len(both)).astype(np.int64)
+                top = np.argsort(-summed, kind="stable")[: 4 * codes]
+                held, counts = both[top], summed[top]
+        top = [pa.array([a[:codes]], longs) for a in (held.view(np.int64), counts)]
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64())] * 3 + top, names)
+
+    return rows, "_doc long, n long, pairs long, w array<long>, c array<long>"
+
+
+def _layout(survey: DataFrame) -> _Layout:
+    total = survey.filter("_doc IS NOT NULL").agg(F.sum("n").alias("n"), F.count("*").alias("docs")).first()
+    each = survey.filter("_doc IS NULL").select(F.explode(F.arrays_zip("w", "c")).alias("s")).select("s.w", "s.c")
+    top = each.groupBy("w").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "w").limit(CODES).collect()
+    coded = np.concatenate([[_START], np.array([r.w for r in top], np.int64).view(np.uint64)]).astype(np.uint64)
+    counts = np.array([total.docs, *(r.c for r in top)], np.int64)
+    order = np.argsort(coded)
+    frequent = np.flatnonzero(counts[order] > UNIT_ROWS)
+    parts = -(-counts[order][frequent] // UNIT_ROWS)
+    cold = max(1, -(-((total.n or 0) - int(counts[order][frequent].sum())) // UNIT_ROWS))
+    return _Layout(coded, coded[order], order, cold, coded[order][frequent], cold + np.cumsum(parts) - parts, parts)
+
+
+def _learnt(layout: _Layout, kinds: np.ndarray | None, most: int, order: int, hold: int, slices: int, at_slice: int):
+    """The counted grams of the highest order for the units of their last symbols."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[tuple[np.ndarray, ...]] = []
+        waiting: list[list[np.ndarray]] = []
         size = 0
 
-        def sent() -> pa.RecordBatch:
-            columns = (np.concatenate(c) for c in zip(*waiting, strict=True))
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["g", "_doc", "p", "x"])
+        def sent() -> Iterator[pa.RecordBatch]:
+            seed, unit, *symbols = (np.concatenate(c) for c in zip(*waiting, strict=True))
+            _, first, counts = np.unique(_key(seed, symbols), return_index=True, return_counts=True)
+            classes, who = np.unique(seed[first], return_inverse=True)
+            symbols = [s[first] for s in symbols]
+            near = [symbols[0], symbols[-2], symbols[-1]]
+            yield from _sent(_GRAMS, _parcels(layout, unit[first], near, who, [classes], symbols, [counts]))
 
         for batch in pieces(batches):
-            docs = batch.column("_doc").to_numpy()
-            for i, (name, symbols) in enumerate(zip(batch.column("_class").to_pylist(), _symbols(batch, words), strict=True)):
-                for found in _grams(symbols, _class_seed(name), order):
-                    for o, grams in enumerate(found, 1):
-                        ends, at = np.unique(grams, return_inverse=True)
-                        top = o == order
-                        p = np.bincount(at if top else at[1:], minlength=len(ends)).astype(np.int32)
-                        x = np.zeros_like(p) if top else np.bincount(at[:-1], minlength=len(ends)).astype(np.int32)
-                        waiting.append((ends, np.full(len(ends), docs[i]), p, x))
-                        size += len(ends)
-                if size > SHARD_ROWS:
-                    yield sent()
+            seeds = batch.column("_seed").to_numpy().view(np.uint64)
+            for at, flat, n in _runs(batch, kinds, most):
+                symbols = _windows(flat, n, order)
+                unit = layout.units(symbols[-1], symbols[-2])
+                own = unit % slices == at_slice
+                waiting.append([np.repeat(seeds[at : at + len(n)], n)[own], unit[own], *(s[own] for s in symbols)])
+                size += int(own.sum())
+                if size > hold:
+                    yield from sent()
                     waiting, size = [], 0
-        if waiting:
-            yield sent()
-
-    return rows, "g long, _doc long, p int, x int"
-
-
-def _discounts(level: DataFrame) -> DataFrame:
-    """``cls, d1, d2, d3`` of the modified estimate; 0.5, 1 and 1.5 at most where a count of counts is zero."""
-    n = [F.sum(F.when(F.col("c") == i, 1).otherwise(0)).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)]
-    counted = level.groupBy("cls").agg(*n)
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
-
-    def d(i: int) -> Column:
-        has = (F.col(f"n{i}") > 0) & (F.col("n1") > 0)
-        made = i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")
-        return F.when(has, F.greatest(F.lit(0.05 * i), F.least(made, F.lit(float(i))))).otherwise(0.5 * i)
+        if size:
+            yield from sent()
+
+    return rows
+
+
+_COUNTED = pa.schema(
+    [("unit", pa.int32()), ("kind", pa.int32()), ("seed", pa.int64()), ("o", pa.int32()), ("w", pa.int64())]
+    + [(c, pa.int64()) for c in ("n1", "n2", "n3", "n4", "total", "size", "least")]
+    + [("blob", pa.binary())]
+)
+_COUNTED_KINDS = "unit int, kind int, seed long, o int, w long, n1 long, n2 long, n3 long, n4 long, total long, size long, least long, blob binary"
+
+
+def _statistics(kind: int, o: int, keys: list[np.ndarray], c: np.ndarray) -> Iterator[dict]:
+    """Sums of the counts ``c`` by class and, where there is a second key, symbol."""
+    both, first, of = np.unique(_key(keys[0], keys[1:]), return_index=True, return_inverse=True)
+    table = {f"n{i}": np.bincount(of[c == i], minlength=len(both)) for i in (1, 2, 3, 4)}
+    table |= {"total": np.bincount(of, c, len(both)).astype(np.int64), "size": np.bincount(of, minlength=len(both))}
+    least = np.full(len(both), np.iinfo(np.int64).max)
+    np.minimum.at(least, of[c >= 3], c[c >= 3])
+    table |= {"least": least, "seed": keys[0][first].view(np.int64)} | ({"w": keys[1][first].view(np.int64)} if keys[1:] else {})
+    for i in range(len(both)):
+        yield {"kind": kind, "o": o} | {name: int(a[i]) for name, a in table.items()}
+
+
+def _counted(layout: _Layout, order: int):
+    """A unit of last symbols: counts of all orders, sent on to the units of the contexts."""
+
+    def counted(rows: pa.Table) -> pa.Table:
+        opened = [_opened(layout, blob, 1, order) for blob in rows.column("blob").to_pylist()]
+        seed = np.concatenate([names[0][who] for who, names, _, _ in opened])
+        symbols = [np.concatenate([columns[i] for _, _, columns, _ in opened]) for i in range(order)]
+        c = np.concatenate([more[0] for *_, more in opened])
+        _, first, of = np.unique(_key(seed, symbols), return_index=True, return_inverse=True)
+        counts = [np.bincount(of, c).astype(np.int64)]
+        seed, symbols = seed[first], [s[first] for s in symbols]
+        out = list(_statistics(_STATS, order, [seed], counts[0]))
+        # Of each order, a gram that stands for its equals, and which of them every gram of the highest order has.
+        rep, of = np.arange(len(seed)), np.arange(len(seed))
+        for o in range(order - 1, 0, -1):
+            _, first, to = np.unique(_key(seed[rep], [s[rep] for s in symbols[order - o :]]), return_index=True, return_inverse=True)
+            c, rep, of = np.bincount(to), rep[first], to[of]
+            counts.append(c[of])
+            if o == 2:
+                hot = layout.is_hot(symbols[-2][rep])
+                out += _statistics(_HOT_CONTEXTS, o, [seed[rep][hot], symbols[-2][rep][hot]], c[hot])
+            if o > 1:
+                out += _statistics(_STATS, o, [seed[rep]], c)
+        hot = layout.is_hot(symbols[-1][rep])
+        out += _statistics(_HOT_ONES, 1, [seed[rep][hot], symbols[-1][rep][hot]], c[hot])
+        out += _statistics(_STATS, 1, [seed[rep][~hot]], c[~hot])
+        classes, who = np.unique(seed, return_inverse=True)
+        ones = rep[~hot]
+        unit = np.full(len(ones), rows.column("unit")[0].as_py())
+        out += ({"kind": _ONES, "unit": u, "blob": b} for u, b in _parcels(layout, unit, [], who[ones], [classes], [symbols[-1][ones]], [c[~hot]]))
+        unit = layout.units(symbols[-2], symbols[-3])
+        near = [symbols[0], symbols[-1], symbols[-2], who]
+        out += ({"kind": _MODEL, "unit": u, "blob": b} for u, b in _parcels(layout, unit, near, who, [classes], symbols, counts))
+        return pa.Table.from_pylist(out, _COUNTED)
+
+    return counted
+
+
+class _Sums(NamedTuple):
+    """What holds for all units: by class, sorted, and for the symbols with several units, by the hash of class and symbol."""
+
+    seeds: np.ndarray
+    #: By order (from 1) and class, the discounts of the counts 1, 2 and more.
+    discounts: list[np.ndarray]
+    #: By class, of the lowest order: the sum of the counts, what every symbol gets, and the least probability.
+    total: np.ndarray
+    floor: np.ndarray
+    unseen: np.ndarray
+    ones: np.ndarray
+    one_counts: np.ndarray
+    contexts: np.ndarray
+    context_seeds: np.ndarray
+    context_totals: np.ndarray
+    context_counts: np.ndarray
+
+    def cut(self, o: int, cls: np.ndarray, c: np.ndarray) -> np.ndarray:
+        return self.discounts[o - 1][cls, np.minimum(c, 3) - 1]
+
+    def lowest(self, cls: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """The probabilities of symbols with such counts."""
+        return (c - self.cut(1, cls, c)) / self.total[cls] + self.floor[cls]
+
+
+def _discounts(n: np.ndarray) -> np.ndarray:
+    """The three discounts of the modified estimate from counts of counts; 0.5, 1 and 1.5 at most where one is zero."""
+    y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.0
+    return np.array([max(0.05 * i, min(i - (i + 1) * y * n[i] / n[i - 1], i)) if n[i - 1] and n[0] else 0.5 * i for i in (1, 2, 3)])
+
+
+def _sums(counted: DataFrame, order: int) -> _Sums:
+    """Rows per class and order, and per class and frequent symbol: few, as language tags and codes are."""
+    sums = [F.sum(c).alias(c) for c in ("n1", "n2", "n3", "n4", "total", "size")]
+    rows = counted.filter(F.col("kind").isin(_STATS, _HOT_ONES, _HOT_CONTEXTS)).groupBy("kind", "o", "seed", "w").agg(*sums, F.min("least").alias("least")).collect()
+    as_key = lambda x: np.uint64(x % 2**64)
+    seeds = np.unique(np.array([as_key(r.seed) for r in rows], np.uint64))
+    place = {int(s): i for i, s in enumerate(seeds)}
+    n, ones = np.zeros((order, len(seeds), 4)), [[] for _ in seeds]
+    total, size = np.zeros(len(seeds)), np.zeros(len(seeds))
+    hot: dict[int, list[tuple]] = {_HOT_ONES: [], _HOT_CONTEXTS: []}
+    for r in rows:
+        i = place[r.seed % 2**64]
+        if r.kind == _STATS:
+            n[r.o - 1, i] += [r.n1, r.n2, r.n3, r.n4]
+            if r.o == 1:
+                total[i] += r.total
+                size[i] += r.size
+                ones[i] += [c for c, has in ((1, r.n1), (2, r.n2), (r.least, r.size > r.n1 + r.n2)) if has]
+        else:
+            hot[r.kind].append((as_key(r.seed), as_key(r.w), r))
+        if r.kind == _HOT_ONES:
+            c = r.total
+            if c <= 4:
+                n[0, i, c - 1] += 1
+            total[i] += c
+            size[i] += 1
+            ones[i].append(c)
+    discounts = [np.array([_discounts(x) for x in level]).reshape(-1, 3) for level in n]
+
+    def keyed(kind: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+        seed, w = (np.array([h[k] for h in hot[kind]], np.uint64) for k in (0, 1))
+        key = _key(seed, [w])
+        at = np.argsort(key)
+        return key[at], seed[at], w[at], [hot[kind][j][2] for j in at]
+
+    one_keys, _, _, one_rows = keyed(_HOT_ONES)
+    contexts, context_seeds, _, context_rows = keyed(_HOT_CONTEXTS)
+    counts = np.array([[r.n1, r.n2, r.size - r.n1 - r.n2] for r in context_rows], float).reshape(-1, 3)
+    more = size - n[0, :, 0] - n[0, :, 1]
+    mass = (discounts[0] * np.stack([n[0, :, 0], n[0, :, 1], more], axis=1)).sum(axis=1)
+    floor = mass / total / (size + 2)
+    found = _Sums(
+        seeds, discounts, total, floor, floor, one_keys, np.array([r.total for r in one_rows], np.int64),
+        contexts, context_seeds, np.array([r.total for r in context_rows], float), counts,
+    )
+    unseen = [found.lowest(np.full(len(c), i), np.array(c)).min() for i, c in enumerate(ones)]
+    return found._replace(unseen=np.array(unseen))
 
-    return counted.select("cls", *(d(i).alias(f"d{i}") for i in (1, 2, 3)))
 
+def _asked(layout: _Layout, seeds: np.ndarray, kinds: np.ndarray | None, most: int, order: int, hold: int, slices: int, at_slice: int):
+    """The grams of the documents for the units of their contexts, and their symbols for their own units."""
 
-def smoothed(grams: DataFrame, order: int) -> tuple[DataFrame, DataFrame]:
-    """The model ``g, d, w`` from the counted grams of the highest order, and ``cls, unknown``.
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams: list[list[np.ndarray]] = []
+        symbols: list[list[np.ndarray]] = []
+        names: list[list[np.ndarray]] = []
+        size = held = 0
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            named = [np.concatenate(c) for c in zip(*names, strict=True)]
+            for kind, waiting in ((_GRAMS, grams), (_SYMBOLS, symbols)):
+                unit, who, *columns = (np.concatenate(c) for c in zip(*waiting, strict=True))
+                near = [columns[-2 if kind == _GRAMS else -1]]
+                yield from _sent(kind, _parcels(layout, unit, near, who, named, columns, []))
 
-    ``d`` is what a gram adds to a log-probability, ``w`` the logarithm of what
-    it leaves, as a context, to the next lower order; a gram has a row for
-    each. ``unknown``: the log-probability of a symbol that no trusted text has.
-    """
-    levels, level = {}, grams
-    for o in range(order, 0, -1):
-        if o < order:
-            carried = [F.first(c).alias(c) for c in _level_columns(o)[1:]]
-            level = level.groupBy("cls", f"g{o}").agg(F.count("*").alias("c"), *carried)
-            level = stage_table(level, f"op8_order{o}")
-        levels[o] = level
-    parts, lower, unknown = [], None, None
-    for o in range(1, order + 1):
-        level = levels[o]
-        kind = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-        # A row per class: few, as language tags are.
-        cut = level.join(F.broadcast(_discounts(level)), "cls").withColumn("cut", kind).drop("d1", "d2", "d3")
-        share = (F.col("c") - F.col("cut")) / F.col("total")
-        sums = [F.sum("c").alias("total"), F.sum("cut").alias("mass")]
-        if o == 1:
-            # The lowest order falls back on the uniform distribution.
-            total = cut.groupBy("cls").agg(*sums, (F.count("*") + 2).alias("v"))
-            p = share + F.col("mass") / F.col("total") / F.col("v")
-            lower = stage_table(cut.join(F.broadcast(total), "cls").select("cls", "g1", p.alias("p")), "op8_lowest")
-            unknown = stage_table(lower.groupBy("cls").agg(F.log(F.min("p")).alias("unknown")), "op8_unknown")
-            value = F.log("p") - F.col("unknown")
-            parts.append(lower.join(F.broadcast(unknown), "cls").select(F.col("g1").alias("g"), value.alias("d"), F.lit(0.0).alias("w")))
-            continue
-        x = f"x{o - 1}"
-        total = stage_table(cut.groupBy(x).agg(*sums), f"op8_contexts{o}")
-        rest = F.col("mass") / F.col("total")
-        parts.append(total.select(F.col(x).alias("g"), F.lit(0.0).alias("d"), F.log(rest).alias("w")))
-        joined = cut.select(f"g{o}", f"g{o - 1}", x, "c", "cut").join(total, x).join(lower.select(f"g{o - 1}", "p"), f"g{o - 1}")
-        known = joined.select(f"g{o}", share.alias("share"), (rest * F.col("p")).alias("from_lower"))
-        known = known.select(
-            f"g{o}", (F.col("share") + F.col("from_lower")).alias("p"), F.log1p(F.col("share") / F.col("from_lower")).alias("d")
-        )
-        lower = stage_table(known, f"op8_known{o}")
-        parts.append(lower.select(F.col(f"g{o}").alias("g"), "d", F.lit(0.0).alias("w")))
-    model = parts[0]
-    for part in parts[1:]:
-        model = model.unionAll(part)
-    return model, unknown
+        for batch in pieces(batches):
+            docs, classes = (batch.column(c).to_numpy().view(np.uint64) for c in ("_doc", "_seed"))
+            judged = np.isin(classes, seeds)
+            for at, flat, n in _runs(batch, kinds, most):
+                who = np.repeat(np.arange(len(n)), n)
+                names.append([docs[at : at + len(n)], classes[at : at + len(n)]])
+                for waiting, columns, near, neighbour in (
+                    (grams, w := _windows(flat, n, order), w[-2], w[-3]),
+                    (symbols, [flat], flat, docs[at : at + len(n)][who]),
+                ):
+                    unit = layout.units(near, neighbour)
+                    own = (unit % slices == at_slice) & judged[at : at + len(n)][who]
+                    waiting.append([unit[own], who[own] + held, *(c[own] for c in columns)])
+                    size += int(own.sum())
+                held += len(n)
+                if size > hold:
+                    yield from sent()
+                    grams, symbols, names, size, held = [], [], [], 0, 0
+        if size:
+            yield from sent()
+
+    return rows
+
+
+def _scored(layout: _Layout, sums: _Sums, order: int):
+    """A unit: what its grams and symbols add to the log-probabilities of documents."""
+
+    def levels(blobs: list[bytes]) -> list[tuple[np.ndarray, ...]]:
+        """By order from 2: known grams and how far they are from the lowest order, known contexts and their weights."""
+        opened = [_opened(layout, blob, 1, order) for blob in blobs]
+        seed = np.concatenate([np.empty(0, np.uint64), *(names[0][who] for who, names, _, _ in opened)])
+        symbols = [np.concatenate([np.empty(0, np.uint64), *(columns[i] for _, _, columns, _ in opened)]) for i in range(order)]
+        counts = [np.concatenate([np.empty(0, np.int64), *(more[i].astype(np.int64) for *_, more in opened)]) for i in range(order)]
+        cls = np.searchsorted(sums.seeds, seed)
+        c = counts[order - 1]
+        at, hot = _found(sums.ones, _key(seed, symbols[-1:]))
+        c[hot] = sums.one_counts[at[hot]]
+        lower = sums.lowest(cls, c)
+        lowest, found = np.log(lower), []
+        for o in range(2, order + 1):
+            grams, first, of = np.unique(_key(seed, symbols[order - o :]), return_index=True, return_inverse=True)
+            c, own = counts[order - o][first], cls[first]
+            cut = sums.cut(o, own, c)
+            contexts, back = np.unique(_key(seed[first], [s[first] for s in symbols[order - o : -1]]), return_inverse=True)
+            total, mass = np.bincount(back, c, len(contexts)), np.bincount(back, cut, len(contexts))
+            if o == 2 and len(sums.contexts):
+                # Those of several units: this one needn't have all their grams, nor any.
+                contexts, to = np.unique(np.concatenate([contexts, sums.contexts]), return_inverse=True)
+                back, into = to[back], to[len(to) - len(sums.contexts) :]
+                total, mass = (np.bincount(to[: len(a)], a, len(contexts)) for a in (total, mass))
+                total[into] = sums.context_totals
+                mass[into] = (sums.discounts[1][np.searchsorted(sums.seeds, sums.context_seeds)] * sums.context_counts).sum(axis=1)
+            rest = mass / total
+            p = (c - cut) / total[back] + rest[back] * lower[first]
+            lower = p[of]
+            found.append((grams, np.log(p) - lowest[first], contexts, np.log(rest)))
+        return found
+
+    def lowest(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        opened = [_opened(layout, blob, 1, 1) for blob in blobs]
+        seed = np.concatenate([np.empty(0, np.uint64), *(names[0][who] for who, names, _, _ in opened)])
+        symbol = np.concatenate([np.empty(0, np.uint64), *(columns[0] for _, _, columns, _ in opened)])
+        c = np.concatenate([np.empty(0, np.int64), *(more[0].astype(np.int64) for *_, more in opened)])
+        key = _key(seed, [symbol])
+        at = np.argsort(key)
+        return key[at], np.log(sums.lowest(np.searchsorted(sums.seeds, seed), c))[at]
+
+    def scored(rows: pa.Table) -> pa.Table:
+        blobs: dict[int, list[bytes]] = {kind: [] for kind in (_GRAMS, _SYMBOLS, _MODEL, _ONES)}
+        for kind, blob in zip(rows.column("kind").to_pylist(), rows.column("blob").to_pylist(), strict=True):
+            blobs[kind].append(blob)
+        upper, (ones, values) = levels(blobs[_MODEL]), lowest(blobs[_ONES])
+        docs, gains = [np.empty(0, np.uint64)], [np.empty(0)]
+        for blob in blobs[_SYMBOLS]:
+            who, (ids, seeds), (symbol,), _ = _opened(layout, blob, 2, 1)
+            cls, key = np.searchsorted(sums.seeds, seeds)[who], _key(seeds[who], [symbol])
+            gain = np.log(sums.unseen)[cls]
+            at, known = _found(ones, key)
+            gain[known] = values[at[known]]
+            at, known = _found(sums.ones, key)
+            gain[known] = np.log(sums.lowest(cls[known], sums.one_counts[at[known]]))
+            docs.append(ids)
+            gains.append(np.bincount(who, gain, len(ids)))
+        for blob in blobs[_GRAMS]:
+            who, (ids, seeds), symbols, _ = _opened(layout, blob, 2, order)
+            gain = np.zeros(len(who))
+            for o, (grams, far, contexts, weight) in enumerate(upper, 2):
+                at, known = _found(contexts, _key(seeds[who], symbols[order - o : -1]))
+                gain[known] += weight[at[known]]
+                at, known = _found(grams, _key(seeds[who], symbols[order - o :]))
+                gain[known] = far[at[known]]
+            docs.append(ids)
+            gains.append(np.bincount(who, gain, len(ids)))
+        ids, of = np.unique(np.concatenate(docs), return_inverse=True)
+        return pa.table({"_doc": ids.view(np.int64), "gain": np.bincount(of, np.concatenate(gains), len(ids))})
+
+    return scored
+
+
+@contextmanager
+def _freeing(spark: SparkSession) -> Iterator[None]:
+    """Inside, Spark drops the shuffle files of a job when it has ended."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def _sieved(rows: DataFrame, trusted: DataFrame) -> DataFrame:
+    """Rows whose ids may be trusted, by a bitmap of fixed size, so that few other texts are shuffled."""
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(SIEVE_BITS))
+    mine = trusted.select(bit(F.col("_tid")).alias("_bit"))
+    ones = F.bit_or(F.expr("shiftleft(1L, cast(_bit % 64 AS int))")).alias("_bits")
+    bits = mine.groupBy(F.expr("_bit div 64").alias("_word")).agg(ones)
+    rows = rows.withColumn("_bit", bit(F.col("_id").cast(trusted.schema["_tid"].dataType)))
+    joined = rows.join(F.broadcast(bits), F.expr("_bit div 64") == F.col("_word"))
+    return joined.filter("(shiftrightunsigned(_bits, cast(_bit % 64 AS int)) & 1L) = 1").drop("_bit", "_bits", "_word")
 
 
 def perplexities(
@@ -268,7 +660,13 @@ def perplexities(
     them (of words only). With one fold, the documents that a model has learnt
     are scored by it too.
     """
+    with _freeing(docs.sparkSession):
+        return _perplexities(docs, trusted, doc_id, text, lang, words, folds)
+
+
+def _perplexities(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, lang: str, words: bool, folds: int) -> DataFrame:
     order = WORDS if words else ORDER
+    kinds = _kinds(docs.sparkSession) if words else None
     body = docs[text].cast("string")
     rows = docs.select(
         docs[doc_id].alias("_id"), F.xxhash64(body).alias("_h"), body.alias("_text"), docs[lang].cast("string").alias("_lang")
@@ -279,45 +677,48 @@ def perplexities(
     rows = rows.join(big, rows["_lang"] == big["_known"], "left")
     rows = rows.select(*KEY, "_text", F.coalesce("_known", F.lit(POOLED)).alias("_language"))
     fold = F.pmod(F.coalesce("_h", F.lit(0)), F.lit(folds)).cast("int")
-    of_fold = lambda k: F.concat("_language", F.lit("\0"), k.cast("string"))
-    rows = rows.withColumn("_fold", fold).withColumn("_class", of_fold(F.col("_fold")))
-    symbols = F.coalesce(_word_hashes(F.col("_text")), F.array().cast("array<long>")) if words else F.col("_text")
+    of_fold = lambda k: F.xxhash64("_language", k)
+    rows = rows.withColumn("_fold", fold).withColumn("_seed", of_fold(F.col("_fold")))
+    scored = rows.withColumn("_doc", F.xxhash64(*KEY, "_seed"))
+
+    surveyed, named = _survey(kinds, PIECE, CODES)
+    survey = stage_table(scored.select("_doc", "_text").mapInArrow(surveyed, named), "op8_survey")
+    layout = _layout(survey)
+    units = layout.cold + int(layout.parts.sum())
 
     # Trusted ids grow with the corpus: they are never broadcast.
-    learn = rows.join(trusted.hint("merge"), rows["_id"] == trusted["_tid"], "left_semi")
+    learn = _sieved(rows, trusted).join(trusted.hint("merge"), F.col("_id") == trusted["_tid"], "left_semi")
     taught = F.explode(F.sequence(F.lit(0), F.lit(folds - 1)))
     learn = learn.select("_text", "_language", "_fold", taught.alias("_to"))
     if folds > 1:
         learn = learn.filter("_to <> _fold")
-    learn = learn.select(of_fold(F.col("_to")).alias("_learns"), symbols.alias("_text"))
-    count, kinds = _count_grams(words, order)
-    carried = [F.first(c).alias(c) for c in _level_columns(order)[1:]]
-    grams = learn.mapInArrow(count, kinds).groupBy("cls", f"g{order}").agg(F.sum("c").alias("c"), *carried)
-    model, unknown = smoothed(stage_table(grams, "op8_grams"), order)
-
-    scored = rows.withColumn("_doc", F.xxhash64(*KEY, "_class"))
-    rows_of, kinds = _document_grams(words, order)
-    own = scored.select("_doc", "_class", symbols.alias("_text")).mapInArrow(rows_of, kinds)
+    learn = learn.select(of_fold(F.col("_to")).alias("_seed"), "_text")
+    slices = min(TRAIN_SLICES, units)
+    parts = []
+    for k in range(slices):
+        grams = learn.mapInArrow(_learnt(layout, kinds, PIECE, order, SHARD_ROWS, slices, k), _SENT)
+        parts.append(stage_table(grams.groupBy("unit").applyInArrow(_counted(layout, order), _COUNTED_KINDS), "op8_model"))
+    model = reduce(DataFrame.unionAll, parts)
+    sums = _sums(model, order)
+
+    slices = min(SLICES, units)
+    asked = scored.select("_doc", "_seed", "_text")
+    parts = []
+    for k in range(slices):
+        sent = asked.mapInArrow(_asked(layout, sums.seeds, kinds, PIECE, order, SHARD_ROWS, slices, k), _SENT)
+        own = model.filter(F.col("kind").isin(_MODEL, _ONES) & (F.col("unit") % slices == k)).select("unit", "kind", "blob")
+        gains = sent.unionAll(own).groupBy("unit").applyInArrow(_scored(layout, sums, order), "_doc long, gain double")
+        parts.append(stage_table(gains.groupBy("_doc").agg(F.sum("gain").alias("gain")), "op8_gains"))
     # The rows of a document that is repeated are summed together; each has its part.
-    value = F.col("p") * F.col("d") + F.col("x") * F.col("w")
-    sums = own.join(model.hint("merge"), "g").groupBy("_doc").agg(F.sum(value).alias("gain"))
-    n = F.size("_symbols") if words else F.length("_symbols")
-    # The hashes are numbers already: a pair is one of them turned and joined with the other.
-    turned = "shiftleft(a, 1) ^ shiftrightunsigned(a, 63) ^ b"
-    pairs = F.expr(f"size(array_distinct(zip_with(slice(_symbols, 1, size(_symbols) - 1), slice(_symbols, 2, size(_symbols)), (a, b) -> {turned})))")
-    each = scored.withColumn("_symbols", symbols).select(
-        *KEY, "_class", "_language", "_doc", F.coalesce(n, F.lit(0)).alias("n"), F.coalesce(F.length("_text"), F.lit(0)).alias("chars"),
-        (F.when(F.size("_symbols") > 1, pairs).otherwise(0) if words else F.lit(0)).alias("pairs"),
-    )
-    each = each.groupBy(*each.columns).agg(F.count("*").alias("k"))
-    each = each.join(F.broadcast(unknown.withColumnRenamed("cls", "_c")), F.col("_class") == F.col("_c"), "left").join(sums, "_doc", "left")
-    logp = F.when(F.col("unknown").isNull(), 0.0).otherwise(F.col("n") * F.col("unknown") + F.coalesce("gain", F.lit(0.0)) / F.col("k"))
-    learnt = F.when(F.col("unknown").isNull(), 0).otherwise(F.col("n")).cast("long")
+    gained = reduce(DataFrame.unionAll, parts).groupBy("_doc").agg(F.sum("gain").alias("gain"))
+    lengths = survey.filter("_doc IS NOT NULL").groupBy("_doc").agg(F.max("n").alias("n"), F.max("pairs").alias("pairs"), F.count("*").alias("k"))
+    each = scored.select(*KEY, "_language", "_seed", "_doc", F.coalesce(F.length("_text"), F.lit(0)).cast("long").alias("chars"))
+    each = each.join(lengths.hint("merge"), "_doc").join(gained.hint("merge"), "_doc", "left")
+    judged = F.col("_seed").isin([int(s) for s in sums.seeds.view(np.int64)])
     each = each.select(
-        *KEY, F.col("_language").alias("_class"), learnt.alias("n"), F.col("chars").cast("long").alias("chars"),
-        F.col("pairs").cast("long").alias("pairs"), logp.alias("logp"),
-        F.explode(F.sequence(F.lit(1), F.col("k").cast("int"))).alias("_k"),
-    ).drop("_k")
+        *KEY, F.col("_language").alias("_class"), F.when(judged, F.col("n")).otherwise(0).cast("long").alias("n"), "chars", "pairs",
+        F.when(judged, F.coalesce("gain", F.lit(0.0)) / F.col("k")).otherwise(0.0).alias("logp"),
+    )
     each = stage_table(each, "op8_scores")
     marked = trusted.select("_tid", F.lit(True).alias("trusted"))
     return each.join(marked, each["_id"] == marked["_tid"], "left").select(

@@ -189,6 +189,60 @@ def test_word_model_with_two_folds_matches_its_definition(spark, monkeypatch):
             assert r.logp == pytest.approx(models[fold[r._id]](words), rel=1e-9)
 
 
+@pytest.mark.parametrize("words", [False, True])
+def test_units_passes_and_codes_change_no_number(spark, monkeypatch, words):
+    """Symbols with several units, several passes, and symbols without a code."""
+    monkeypatch.setattr(kneser_ney, "UNIT_ROWS", 300)
+    monkeypatch.setattr(kneser_ney, "CODES", 5)
+    monkeypatch.setattr(kneser_ney, "SLICES", 3)
+    rnd = random.Random(8)
+    cut, join, order = (str.split, " ", 3) if words else (list, "", 4)
+    pool = "the the the cat sat on a mat and ran off" .split() if words else list("aaab bcdefgh")
+    texts = [join.join(rnd.choice(pool) for _ in range(rnd.randint(1, 60))) for _ in range(100)]
+    texts += [join.join("xyz"[: 1 + i % 3]) for i in range(6)]
+    docs = spark.createDataFrame([(i, t, "xx") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    trusted = spark.createDataFrame([(i,) for i in range(70)], "_tid long")
+    model = slow_model([cut(t) for t in texts[:70]], order=order)
+    got = perplexities(docs, trusted, doc_id="doc_id", text="text", lang="lang", words=words).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert r.logp == pytest.approx(model(cut(texts[r._id])), rel=1e-9)
+
+
+def test_symbols_are_those_of_the_regular_expressions(spark):
+    rnd = random.Random(3)
+    ranges = [(0, 0x250), (0x300, 0x600), (0x900, 0x3100), (0x4E00, 0x4E80), (0xFE00, 0x10000), (0x1F000, 0x1FA00), (0x20000, 0x20040)]
+    one = lambda: chr(rnd.randrange(*rnd.choice(ranges))) if rnd.random() < 0.4 else rnd.choice("ab  c.\n")
+    texts = ["".join(one() for _ in range(rnd.randint(0, 80))) for _ in range(500)]
+    parted = F.filter(F.split(F.regexp_replace("t", kneser_ney._LONE, " $0 "), r"[\s\p{Z}]+"), lambda w: w != "")
+    want = [r.w for r in spark.createDataFrame([(t,) for t in texts], "t string").select(parted.alias("w")).collect()]
+    kinds = kneser_ney._kinds(spark)
+    flat, counts = kneser_ney._symbols(texts, kinds)
+    assert counts.tolist() == [len(w) for w in want]
+    known: dict[str, int] = {}
+    assert all(known.setdefault(w, h) == h for w, h in zip((w for ws in want for w in ws), flat.tolist(), strict=True))
+    assert len(set(known.values())) == len(known)
+    for t in texts:
+        assert "".join(kneser_ney._cut(t, 5)) == t
+        parts = [kneser_ney._symbols([p], kinds)[0] for p in kneser_ney._cut(t, 5)]
+        assert sum(map(len, parts)) == len(kneser_ney._symbols([t], kinds)[0])
+
+
+def test_quality_keeps_little_on_disk(spark):
+    """Stage tables and shuffle files that are left when the scores are there."""
+    import os
+    from pathlib import Path
+
+    from rebuy.sources.stage import stage_root
+
+    root = Path(stage_root(spark).removeprefix("file:"))
+    size = lambda: sum(p.stat().st_size for p in root.rglob("*") if "op8_" in str(p) and p.is_file())
+    before = size()
+    docs, labels = (spark.read.parquet(f"{MID}/{t}.parquet") for t in ("documents", "labels"))
+    assert classify(docs, labels).count() == docs.count()
+    assert size() - before <= 1.5 * os.path.getsize(f"{MID}/documents.parquet")
+
+
 def test_odd_rows(spark, odd):
     labels = spark.createDataFrame([(1, 1), (2, 1), (2, 0), (3, 1), (None, 1), (7, 0)], "doc_id long, quality int")
     got = classify(odd(ROWS), labels).collect()
