@@ -81,13 +81,13 @@ LOWER = 0.005
 #: The class of rare and null languages.
 POOLED = "*"
 #: Characters of a text that are handled at once.
-PIECE = 1 << 20
+PIECE = 1 << 16
 #: Gram rows that a task holds before it sends them on.
 SHARD_ROWS = 1_000_000
 #: Symbols of all documents that a unit has, about.
 UNIT_ROWS = 2_000_000
 #: Passes over the units, of all documents and of the trusted ones.
-SLICES, TRAIN_SLICES = 8, 2
+SLICES, TRAIN_SLICES = 8, 4
 #: Symbols with a short code. They decide costs only.
 CODES = 1 << 15
 #: Bits of the first sieve of trusted ids. They decide costs only.
@@ -154,26 +154,32 @@ def _letter_values() -> np.ndarray:
     return _mixed(np.arange(_CODE_POINTS, dtype=np.uint64), _START)
 
 
+@lru_cache(4)
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of the factor and of its inverse."""
+    bases = (int(_FACTOR), pow(int(_FACTOR), -1, 1 << 64))
+    return tuple(np.cumprod(np.concatenate([[np.uint64(1)], np.full((1 << bits) - 1, b, np.uint64)])) for b in bases)
+
+
 def _symbols(texts: list[str], kinds: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """The symbols of the texts as 64-bit numbers, and how many each text has; characters where there are no kinds."""
     sizes = np.array([len(t) for t in texts], np.int64)
     joined = np.frombuffer(("" if kinds is None else "\n").join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     if kinds is None:
         return joined.astype(np.uint64), sizes
-    seen = np.flatnonzero(kinds[joined])
-    if not len(seen):
-        return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
-    alone = kinds[joined[seen]] == _ALONE
-    new = np.ones(len(seen), bool)
-    new[1:] = alone[1:] | alone[:-1] | (seen[1:] != seen[:-1] + 1)
+    kind = kinds[joined]
+    new = kind == _LETTER
+    new[1:] &= kind[:-1] != _LETTER
+    new |= kind == _ALONE
     starts = np.flatnonzero(new)
-    lengths = np.diff(np.append(starts, len(seen)))
-    place = np.arange(len(seen)) - np.repeat(starts, lengths)
-    powers = np.cumprod(np.full(lengths.max(), _FACTOR))
-    sums = np.add.reduceat(_letter_values()[joined[seen]] * powers[place], starts)
     begins = np.cumsum(sizes + 1) - sizes - 1
-    of = np.searchsorted(begins, seen[starts], "right") - 1
-    return _mixed(sums, lengths.astype(np.uint64)), np.bincount(of, minlength=len(texts))
+    counts = np.diff(np.append(np.searchsorted(starts, begins), len(starts)))
+    if not len(starts):
+        return np.empty(0, np.uint64), counts
+    # Blanks add nothing; the powers count from the first letter of a symbol.
+    up, down = _powers((len(joined) - 1).bit_length())
+    sums = np.add.reduceat(_letter_values()[joined] * up[: len(joined)] * (kind != _BLANK), starts)
+    return _mixed(sums * down[starts], _START), counts
 
 
 def _cut(text: str, most: int) -> Iterator[str]:
@@ -213,13 +219,16 @@ def _windows(flat: np.ndarray, counts: np.ndarray, order: int) -> list[np.ndarra
     return [*columns, flat]
 
 
+def _slot(symbol: np.ndarray) -> np.ndarray:
+    return symbol * _FACTOR >> np.uint64(47)
+
+
 class _Layout(NamedTuple):
     """Which unit has a symbol, and the codes of symbols."""
 
-    #: Symbols with a code, by code and sorted with their codes.
+    #: Symbols with a code, the most frequent first, and codes by ``_slot``; of those that share one, the first has it.
     coded: np.ndarray
-    sorted: np.ndarray
-    codes: np.ndarray
+    slots: np.ndarray
     #: Units of all other symbols; symbols with several units, sorted, their first units and how many they have.
     cold: int
     hot: np.ndarray
@@ -234,6 +243,13 @@ class _Layout(NamedTuple):
             unit[hot] = self.first[at[hot]] + part
         return unit
 
+    def codes(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The codes of symbols, and whether they have one."""
+        code = self.slots[_slot(symbol)]
+        known = self.coded[np.minimum(code, len(self.coded) - 1)] == symbol
+        code[~known] = _NO_CODE
+        return code, known
+
     def is_hot(self, symbol: np.ndarray) -> np.ndarray:
         return _found(self.hot, symbol)[1]
 
@@ -270,11 +286,13 @@ def _parcels(
     bounds = np.concatenate([[0], np.flatnonzero(unit[1:] != unit[:-1]) + 1, [len(unit)]]) if len(unit) else [0]
     for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
         rows = order[lo:hi]
-        present, own = np.unique(who[rows], return_inverse=True)
-        arrays = [_least(own), *(name[present] for name in names)]
+        there = np.zeros(len(names[0]), bool)
+        there[who[rows]] = True
+        arrays = [_least((np.cumsum(there) - 1)[who[rows]]), *(name[there] for name in names)]
         for column in symbols:
-            at, known = _found(layout.sorted, column[rows])
-            arrays += [np.where(known, layout.codes[at] if len(layout.codes) else 0, _NO_CODE).astype(np.uint16), column[rows][~known]]
+            own = column[rows]
+            code, known = layout.codes(own)
+            arrays += [code, own[~known]]
         yield int(unit[lo]), _bytes([*arrays, *(_least(m[rows]) for m in more)])
 
 
@@ -298,13 +316,21 @@ def _sent(kind: int, parcels: Iterator[tuple[int, bytes]]) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([pa.array([unit], pa.int32()), pa.array([kind], pa.int32()), pa.array([blob], pa.binary())], ["unit", "kind", "blob"])
 
 
-def _survey(kinds: np.ndarray | None, most: int, codes: int):
+def _survey(kinds: np.ndarray | None, most: int, hold: int, codes: int):
     """``_doc, n, pairs`` of each document, and ``w, c``, the frequent symbols of the task, in a row without a document."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["_doc", "n", "pairs", "w", "c"]
         longs = pa.list_(pa.int64())
-        held, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+        held, counts, waiting = np.empty(0, np.uint64), np.empty(0, np.int64), []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            w, c = np.unique(np.concatenate([held[:0], *waiting]), return_counts=True)
+            both, back = np.unique(np.concatenate([held, w]), return_inverse=True)
+            summed = np.bincount(back, np.concatenate([counts, c]), len(both)).astype(np.int64)
+            top = np.argsort(-summed, kind="stable")[: 4 * codes]
+            return both[top], summed[top]
+
         for batch in pieces(batches):
             for at, flat, n in _runs(batch, kinds, most):
                 of = np.repeat(np.arange(len(n)), n)
@@ -319,11 +345,11 @@ def _survey(kinds: np.ndarray | None, most: int, codes: int):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("_doc").slice(at, size), pa.array(n, pa.int64()), pa.array(pairs, pa.int64()), pa.nulls(size, longs), pa.nulls(size, longs)], names
                 )
-                w, c = np.unique(flat, return_counts=True)
-                both, back = np.unique(np.concatenate([held, w]), return_inverse=True)
-                summed = np.bincount(back, np.concatenate([counts, c]), len(both)).astype(np.int64)
-                top = np.argsort(-summed, kind="stable")[: 4 * codes]
-                held, counts = both[top], summed[top]
+                waiting.append(flat)
+                if sum(map(len, waiting)) > hold:
+                    held, counts = merged()
+                    waiting = []
+        held, counts = merged()
         top = [pa.array([a[:codes]], longs) for a in (held.view(np.int64), counts)]
         yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64())] * 3 + top, names)
 
@@ -336,11 +362,13 @@ def _layout(survey: DataFrame) -> _Layout:
     top = each.groupBy("w").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "w").limit(CODES).collect()
     coded = np.concatenate([[_START], np.array([r.w for r in top], np.int64).view(np.uint64)]).astype(np.uint64)
     counts = np.array([total.docs, *(r.c for r in top)], np.int64)
+    slots = np.full(1 << 17, _NO_CODE, np.uint16)
+    slots[_slot(coded[::-1])] = np.arange(len(coded))[::-1]
     order = np.argsort(coded)
     frequent = np.flatnonzero(counts[order] > UNIT_ROWS)
     parts = -(-counts[order][frequent] // UNIT_ROWS)
     cold = max(1, -(-((total.n or 0) - int(counts[order][frequent].sum())) // UNIT_ROWS))
-    return _Layout(coded, coded[order], order, cold, coded[order][frequent], cold + np.cumsum(parts) - parts, parts)
+    return _Layout(coded, slots, cold, coded[order][frequent], cold + np.cumsum(parts) - parts, parts)
 
 
 def _learnt(layout: _Layout, kinds: np.ndarray | None, most: int, order: int, hold: int, slices: int, at_slice: int):
@@ -681,7 +709,7 @@ def _perplexities(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, l
     rows = rows.withColumn("_fold", fold).withColumn("_seed", of_fold(F.col("_fold")))
     scored = rows.withColumn("_doc", F.xxhash64(*KEY, "_seed"))
 
-    surveyed, named = _survey(kinds, PIECE, CODES)
+    surveyed, named = _survey(kinds, PIECE, SHARD_ROWS, CODES)
     survey = stage_table(scored.select("_doc", "_text").mapInArrow(surveyed, named), "op8_survey")
     layout = _layout(survey)
     units = layout.cold + int(layout.parts.sum())
